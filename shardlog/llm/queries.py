@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, topk, toxicity, url_filters, warc
+from . import decontaminate, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
 from ._common import crc_mod, table
 
 
@@ -25,6 +25,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(table(spark, sf_dir, "documents"), n=20)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
 
@@ -43,6 +47,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=75)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, rules = table(spark, sf_dir, "pages"), url_filters.Rules(URL_RULES)
     return url_filters.judge(pages, rules, url_filters.fit(pages, rules))
@@ -52,7 +60,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_decontamination, op3_topk, op4_warc, op5_toxicity, op8_url_filters, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_topk, op4_warc, op5_toxicity, op7_near_dedup, op8_url_filters, op10_packing)}
+
+#: op1: a window is removed if its first place is before it; places are (doc_id, start).
+_OP1 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS k, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT r, doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+f AS (SELECT g, min((k, s)) AS first FROM p GROUP BY g),
+c AS (SELECT DISTINCT r, unnest(generate_series(s, s + 19)) AS i FROM p JOIN f USING (g) WHERE (k, s) <> first),
+x AS (SELECT r, list(i) AS gone FROM c GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda v, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN x USING (r)
+"""
+
+#: op7: sets of distinct shingles, pairs that share one, links, then the smallest id that is reachable.
+_OP7 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM b JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * m >= 75 * (p.n + q.n - m)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t AS (SELECT a AS doc_id, a AS c FROM (SELECT DISTINCT a FROM e) UNION SELECT e.b, t.c FROM t JOIN e ON e.a = t.doc_id WHERE t.c < e.b),
+c AS (SELECT doc_id, min(c) AS c FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c, d.doc_id)) AS component_id, least(d.doc_id, coalesce(c, d.doc_id)) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
 
 #: op2: windows of each item, then every place of every document that equals one; words are 1-based.
 _OP2 = r"""
@@ -74,4 +107,4 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op2_decontamination": _OP2, "op3_topk": _OP3}
+ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_decontamination": _OP2, "op3_topk": _OP3, "op7_near_dedup": _OP7}
