@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
+from . import decontaminate, lm_score, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
 from ._common import crc_mod, table
 
 
@@ -47,6 +47,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), crc_mod("doc_id", 5) == 1)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=75)
 
@@ -60,7 +64,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_topk, op4_warc, op5_toxicity, op7_near_dedup, op8_url_filters, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_topk, op4_warc, op5_toxicity, op6_lm_score, op7_near_dedup, op8_url_filters, op10_packing)}
 
 #: op1: a window is removed if its first place is before it; places are (doc_id, start).
 _OP1 = r"""
