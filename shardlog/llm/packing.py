@@ -8,8 +8,7 @@ Multiplicities are rounded down; what is left goes to bins best-fit, longest fir
 The plan has a bounded number of rows (distinct configurations times their slots); pieces look up their place in it by length and
 rank within the length. Ranks come from counts per (salt, length) and a running sum, so no length is gathered in one task.
 
-Tokenizing keeps a bounded cache from white-space separated strings to ids: the tokenizer drops white space and none of its rules
-reach across it, so a text's ids are its strings' ids in order.
+Tokenizing keeps a bounded cache from a text's pieces to their ids (see Encoder); the tokenizer's rules do not reach across pieces.
 
 Edge cases: a null or empty text is the end id alone; an empty table gives no rows; a null id is kept as null; repeated rows are
 packed each; other columns are neither read nor kept.
@@ -17,6 +16,7 @@ packed each; other columns are neither read nor kept.
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -30,42 +30,76 @@ from ._common import Scratch
 CAPACITY, END = 4096, 1
 
 
+#: Fixed values, of the tokenizer's rules within U+0000-U+00FF: letters and numbers (after lower-casing), and what splits off.
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ \t-\r{_LETTERS}{_NUMBERS}]+")
+#: Characters of that range whose treatment as white space differs between libraries; texts that have one take the plain way.
+_ODD = bytes([*range(9), *range(14, 32), *range(127, 161)])
+
+
+def _byte_letters() -> list[str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for the characters from U+0100 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class Encoder:
-    """Ids of whole texts. most: strings that the cache holds."""
+    """Ids of whole texts, as the tokenizer in the file gives them. most: strings that the cache holds.
+
+    Texts within Latin-1 are split by the tokenizer's own rules and each distinct piece goes through its merges once. Others are
+    split at white space, which the tokenizer drops, and each distinct string goes through the whole tokenizer once.
+    """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tok, self.most = Tokenizer.from_file(path), most
+        self.tok, self.most, self.letters = Tokenizer.from_file(path), most, _byte_letters()
+        self.model = self.tok.model
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
+        self.at: dict[str | bytes, int] = {}
         self.ids, self.starts, self.used, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0, 0
 
-    def _learn(self, new: list[bytes]) -> None:
-        for e in (self.tok.encode_batch([w.decode("utf-8", "surrogatepass") for w in new[i : i + 4096]], add_special_tokens=False) for i in range(0, len(new), 4096)):
-            for x in e:
-                ids = x.ids
-                while self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-                if self.n + 2 > len(self.starts):
-                    self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.starts[self.n], self.used, self.n = self.used, self.used + len(ids), self.n + 1
-                self.starts[self.n] = self.used
-        for k, w in enumerate(new, self.n - len(new)):
-            self.at[w] = k
+    def _merged(self, piece: str) -> list[int]:
+        if not piece.isascii():
+            piece = "".join([self.letters[b] for b in piece.encode()])
+        return [t.id for t in self.model.tokenize(piece)]
+
+    def _learn(self, new: list[str | bytes]) -> None:
+        flat: list[int] = []
+        ends = []
+        for w in new:
+            flat += self._merged(w) if isinstance(w, str) else self.tok.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+            ends.append(len(flat))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(new) + 1 > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.starts[self.n + 1 : self.n + 1 + len(new)] = np.array(ends) + self.used
+        self.at.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+        self.used, self.n = self.used + len(flat), self.n + len(new)
+
+    def _split(self, text: str) -> list:
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            raw = None
+        if raw is None or "<|" in text or len(raw.translate(None, _ODD)) != len(raw):
+            return text.encode("utf-8", "surrogatepass").split()
+        return _PIECE.findall(text.lower())
 
     def encode(self, text: str | None) -> np.ndarray:
-        parts = text.encode("utf-8", "surrogatepass").split() if text else []
+        parts = self._split(text) if text else []
         if not parts:
             return np.empty(0, np.uint32)
         try:
             k = np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))
         except KeyError:
-            new = [w for w in dict.fromkeys(parts) if w not in self.at]
-            if self.n + len(new) > self.most:
+            new = list(dict.fromkeys([w for w in parts if w not in self.at]))
+            if self.n and self.n + len(new) > self.most:
                 self.clear()
                 new = list(dict.fromkeys(parts))
             self._learn(new)
