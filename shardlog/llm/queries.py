@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lm_score, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
+from . import decontaminate, html_extract, lm_score, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
 from ._common import crc_mod, table
 
 
@@ -60,11 +60,15 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, rules, url_filters.fit(pages, rules))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_topk, op4_warc, op5_toxicity, op6_lm_score, op7_near_dedup, op8_url_filters, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_substring_dedup, op2_decontamination, op3_topk, op4_warc, op5_toxicity, op6_lm_score, op7_near_dedup, op8_url_filters, op9_html_extraction, op10_packing)}
 
 #: op1: a window is removed if its first place is before it; places are (doc_id, start).
 _OP1 = r"""

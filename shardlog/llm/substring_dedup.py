@@ -155,11 +155,11 @@ _DEALT = "bucket int, direct boolean, entries binary"
 _MARKS = "_k long, _f int, marks binary"
 
 
-def _deal(entries: Iterator[list[np.ndarray]], buckets: int, mixed_goes_on: bool) -> Iterator[pa.RecordBatch]:
+def _deal(entries: Iterator[list[np.ndarray]], buckets: int, mixed_goes_on: bool, settle=_settle) -> Iterator[pa.RecordBatch]:
     """Rows for the exchange, from entries of one task; at most SEGMENT (and one text's) entries are held."""
 
     def out(held):
-        sent, verdicts = _settle([np.concatenate(x) for x in zip(*held, strict=True)], mixed_goes_on)
+        sent, verdicts = settle([np.concatenate(x) for x in zip(*held, strict=True)], mixed_goes_on)
         to = ((sent[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(to, np.arange(buckets + 1))
         rows = [(b, False, _pack([x[lo:hi] for x in sent])) for b, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)) if hi > lo]
@@ -181,13 +181,13 @@ def _deal(entries: Iterator[list[np.ndarray]], buckets: int, mixed_goes_on: bool
         yield out(held)
 
 
-def _verdicts(dealt: DataFrame, buckets: int, mixed_goes_on: bool) -> DataFrame:
+def _verdicts(dealt: DataFrame, buckets: int, mixed_goes_on: bool, judge=_judge) -> DataFrame:
     def run(batches):
         for _, direct, blobs in _runs(batches, 1):
             direct, blobs = direct.to_pylist(), blobs.to_pylist()
             found = []
             if mine := [_unpack(b) for d, b in zip(direct, blobs, strict=True) if not d]:
-                found.append(_judge([np.concatenate(x) for x in zip(*mine, strict=True)], mixed_goes_on))
+                found.append(judge([np.concatenate(x) for x in zip(*mine, strict=True)], mixed_goes_on))
             for d, b in zip(direct, blobs, strict=True):
                 if d:
                     kind, _, k, f, lo, n = _unpack(b)
