@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import Scratch
+
 #: Fixed value: what separates words.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same for texts whose A-Z are not yet lower-cased.
@@ -77,6 +79,11 @@ def report(docs: DataFrame, items: DataFrame, n: int = 10, most: int = 1_000_000
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = 10, most: int = 1_000_000) -> DataFrame:
-    """The rows of docs, all columns as they are, in whose text no window occurs."""
-    h = hits(docs, items, n, most).where("n_hit > 0").select(F.col("doc_id").alias("_hit_id"), F.col("fp").alias("_hit_fp"))
+    """The rows of docs, all columns as they are, in whose text no window occurs.
+
+    What is hit is written first; up to ``most`` (id, text hash) pairs are broadcast, more are joined by shuffle.
+    """
+    h = Scratch(docs.sparkSession, "decontaminate").save(hits(docs, items, n, most).where("n_hit > 0").select(F.col("doc_id").alias("_hit_id"), F.col("fp").alias("_hit_fp")), "hits")
+    if h.count() <= most:
+        h = F.broadcast(h)
     return docs.join(h, F.col("doc_id").eqNullSafe(h["_hit_id"]) & (F.xxhash64("text") == h["_hit_fp"]), "left_anti")

@@ -264,8 +264,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, block: int =
     return got.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of docs, all columns as they are, that are the document of smallest id of their component; one row for each id."""
-    gone = near_duplicates(docs, n, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, most: int = 1_000_000) -> DataFrame:
+    """The rows of docs, all columns as they are, that are the document of smallest id of their component; one row for each id.
+
+    The ids that go are written first; up to ``most`` of them are broadcast, more are joined by shuffle.
+    """
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    found = scratch.save(near_duplicates(docs, n, percent).select("doc_id", "kept"), "found")
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    if gone.count() <= most:
+        gone = F.broadcast(gone)
     left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return left
     return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
