@@ -4,7 +4,7 @@ Documents are tokenized, ended with one id and cut into pieces only where longer
 (at most ``capacity`` numbers, whatever the input) goes to the driver. There a covering linear program over bin configurations is
 solved by multiplicative weights: each length has a weight that falls exponentially as it is covered, and the next configuration is
 the best knapsack filling for the present weights (dynamic programming over the capacity, followed by dropping what is used up).
-Multiplicities are rounded down; what is left goes to bins best-fit, longest first, filling the roomiest bins' gaps exactly.
+Multiplicities are rounded down; what is left goes to bins best-fit, longest first.
 The plan has a bounded number of rows (distinct configurations times their slots); pieces look up their place in it by length and
 rank within the length. Ranks come from counts per (salt, length) and a running sum, so no length is gathered in one task.
 
@@ -187,11 +187,18 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 160
         dual = lengths[live] * np.exp(-eta * (covered - covered.mean()) - 0.02 * (t % 7) * (lengths[live] % 3 == t % 3))
         pick = live[_best_filling(dual, lengths[live], capacity)]
         kinds, times = np.unique(pick, return_counts=True)
+        if (times > left[kinds]).any():  # the relaxation takes more of a rare length than there is: give back, and refill
+            had = dict(zip(kinds.tolist(), np.minimum(times, left[kinds]).tolist(), strict=True))
+            room = capacity - sum(int(lengths[k]) * n for k, n in had.items())
+            for k in live[::-1].tolist():
+                if n := min(int(left[k]) - had.get(k, 0), room // int(lengths[k])):
+                    had[k] = had.get(k, 0) + n
+                    room -= n * int(lengths[k])
+            if room > capacity // 500:
+                break  # too little is left for full configurations; rounding ends here
+            kinds, times = np.array(list(had), np.int64), np.array(list(had.values()), np.int64)
         fits = int((left[kinds] // times).min())
-        if fits == 0:  # what is rare is used up: only as many as there are
-            times = np.minimum(times, left[kinds])
-            fits = 1
-        use = max(1, min(fits, int(np.ceil(left.sum() / max(1, times.sum()) / 12))))
+        use = max(1, min(fits, int(np.ceil(left.sum() / times.sum() / 12))))
         left[kinds] -= times * use
         out.append((np.repeat(lengths[kinds], times), use))
     out += _best_fit(lengths, left, capacity)
