@@ -6,8 +6,9 @@
 2. Documents with equal sets become one node. Nodes that share a band key are candidates: 32 bands of 4 rows miss a pair of similarity
    0.75 with probability (1 - 0.75**4)**32 = 5e-6.
 3. Buckets are compared by sketch inside tasks, nothing is paired in a table; a bucket of over ``block`` nodes is dealt out as pairs
-   of blocks. Of the pairs whose XOR count is within six standard deviations of what the threshold gives, a task first returns a
-   spanning forest by estimate only. Those are verified on full sets and joined to components. A second pass returns the
+   of blocks. Candidates are pairs whose XOR count is within six standard deviations of what the threshold gives and pass a second,
+   lossless test: the XOR of parity bitmaps of the whole sets never counts more bits than the sets differ in, and can't exceed what
+   the threshold allows. Of these a task first returns a spanning forest by estimate only. Those are verified on full sets and joined to components. A second pass returns the
    candidates that still lie in different components; verifying these makes the result complete: only pairs already connected, or
    refuted, are left out.
 4. Components of the verified links; every document takes its set's component.
@@ -33,6 +34,7 @@ from ._common import Scratch, WordHashes, gram_hashes, mix, partitions
 from ._graph import components
 
 BANDS, ROWS, BITS = 32, 4, 512
+PARITY_BITS = 2048
 BLOOM_BITS = 24
 _K = BANDS * ROWS
 _rng = np.random.default_rng(20240501)
@@ -66,6 +68,11 @@ def odd_sketch(sig: np.ndarray) -> bytes:
     return np.packbits(np.bincount(bit, minlength=BITS).astype(np.uint8) & 1).tobytes()
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Odd sketch of a whole set: one bit toggled per element."""
+    return np.packbits(np.bincount((s & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS).astype(np.uint8) & 1).tobytes()
+
+
 def band_keys(sig: np.ndarray) -> np.ndarray:
     return mix(gram_fold(sig.astype(np.uint64).reshape(BANDS, ROWS)) ^ _BAND)
 
@@ -85,7 +92,7 @@ def most_different(similarity: float, sigmas: float = 6.0) -> int:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, f1, f2, sketch, bands for every row."""
+    """doc_id, n_shingles, f1, f2, sketch (of samples, then of the set), bands for every row."""
 
     def run(batches):
         words = WordHashes()
@@ -96,7 +103,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 ns.append(len(s))
                 f.append((int(s.sum(dtype=np.uint64)), int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))))
                 sig = minhash(s) if len(s) else None
-                sk.append(odd_sketch(sig) if len(s) else b"")
+                sk.append(odd_sketch(sig) + parity(s) if len(s) else b"")
                 bd.append(band_keys(sig).tobytes() if len(s) else b"")
             f1, f2 = (np.array([x[k] for x in f], np.uint64).view(np.int64) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), pa.array(f1), pa.array(f2), pa.array(sk, pa.binary()), pa.array(bd, pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sketch", "bands"])
@@ -137,7 +144,7 @@ def _runs(batches, keys: int) -> Iterator[list[pa.Array]]:
         yield whole()
 
 
-def _bucket_pairs(members: DataFrame, most: int, forest: bool) -> DataFrame:
+def _bucket_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
     """a, b of candidates in each dealt-out bucket whose labels differ; with forest, a spanning forest of them only."""
 
     def find(up: list[int], i: int) -> int:
@@ -146,13 +153,16 @@ def _bucket_pairs(members: DataFrame, most: int, forest: bool) -> DataFrame:
             i = up[i]
         return i
 
+    most = most_different(percent / 100)
+
     def run(batches):
         out: list[np.ndarray] = []
-        for _, i, j, block, rep, label, sketch in _runs(batches, 3):
-            rep, label, block = (np.asarray(c.to_numpy()) for c in (rep, label, block))
+        for _, i, j, block, rep, label, size, sketch in _runs(batches, 3):
+            rep, label, block, size = (np.asarray(c.to_numpy()) for c in (rep, label, block, size))
             if len(rep) < 2 or (label == label[0]).all():
                 continue
-            s = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(rep), -1)
+            both = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(rep), -1)
+            s, whole = np.ascontiguousarray(both[:, : BITS // 64]), both[:, BITS // 64 :]
             cross = i[0].as_py() != j[0].as_py()
             x, y, d = [], [], []
             for lo in range(0, len(rep), 64):  # bounded temporaries
@@ -161,9 +171,12 @@ def _bucket_pairs(members: DataFrame, most: int, forest: bool) -> DataFrame:
                 if cross:
                     ok &= block[lo : lo + 64, None] != block
                 p, q = np.nonzero(ok)
+                apart = np.concatenate([np.empty(0, np.int64), *(np.bitwise_count(whole[p[k : k + 4096] + lo] ^ whole[q[k : k + 4096]]).sum(1, dtype=np.int64) for k in range(0, len(p), 4096))])
+                may = apart * (100 + percent) <= (100 - percent) * (size[p + lo] + size[q])
+                p, q = p[may], q[may]
                 x.append(p + lo)
                 y.append(q)
-                d.append(dist[p, q])
+                d.append(apart[may])
             x, y, d = map(np.concatenate, (x, y, d))
             if forest:
                 up, keep = list(range(len(rep))), []
@@ -183,7 +196,7 @@ def _bucket_pairs(members: DataFrame, most: int, forest: bool) -> DataFrame:
         m = np.unique(np.concatenate(out, 1), axis=1) if out else np.empty((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(m[0]), pa.array(m[1])], ["a", "b"])
 
-    dealt = members.select("bk", "i", "j", "block", "rep", "label", "sketch").repartition(partitions(members.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j", "rep")
+    dealt = members.select("bk", "i", "j", "block", "rep", "label", "n_shingles", "sketch").repartition(partitions(members.sparkSession), "bk", "i", "j").sortWithinPartitions("bk", "i", "j", "rep")
     return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
@@ -244,16 +257,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, block: int =
     rows = scratch.save(bands.join(shared, "bk"), "buckets")
     one = rows.groupBy("bk", "m").agg(F.bit_xor(F.xxhash64("rep")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("t"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).groupBy("m", "s", "t", "lo", "hi").agg(F.min("bk").alias("bk")).select("bk")
     parts = F.ceil(F.col("m") / block).cast("int")
-    placed = rows.join(one, "bk").join(nodes.select("rep", "sketch"), "rep").withColumn("block", F.when(F.col("m") > block, F.pmod(F.xxhash64("rep"), parts)).otherwise(0).cast("int"))
+    placed = rows.join(one, "bk").join(nodes.select("rep", "n_shingles", "sketch"), "rep").withColumn("block", F.when(F.col("m") > block, F.pmod(F.xxhash64("rep"), parts)).otherwise(0).cast("int"))
     others = F.when(F.col("m") > block, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
-    members = scratch.save(placed.select("bk", "rep", "sketch", "block", F.explode(others).alias("o")).select("bk", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "rep", "sketch"), "members")
-    most = most_different(percent / 100)
-    first = scratch.save(_bucket_pairs(members.withColumn("label", F.col("rep")), most, True), "pairs-1")
+    members = scratch.save(placed.select("bk", "rep", "n_shingles", "sketch", "block", F.explode(others).alias("o")).select("bk", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "rep", "n_shingles", "sketch"), "members")
+    first = scratch.save(_bucket_pairs(members.withColumn("label", F.col("rep")), percent, True), "pairs-1")
     sets = scratch.save(_sets(docs, first.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), "sets")
     seen = scratch.save(_verify(first, sets, percent), "verified-1")
     labels = components(seen.where("linked").select("a", "b").union(same), scratch, "cc1")
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    second = _bucket_pairs(named, most, False).join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    second = _bucket_pairs(named, percent, False).join(seen.select("a", "b"), ["a", "b"], "left_anti")
     more = scratch.save(_verify(second, sets, percent).where("linked").select("a", "b"), "verified-2")
     # The links between components, then each node's component's component.
     up = lambda c: F.coalesce(f"l{c}", c).alias(c)
