@@ -65,11 +65,11 @@ def uint64(raw: Column, mode: str) -> Column:
     if mode == "string":
         return raw
     n = raw.cast("decimal(20,0)")
-    whole = F.when(n < 0, n + F.lit(UINT64_SPAN).cast("decimal(20,0)")).otherwise(n).cast("decimal(20,0)")
+    whole = F.when(n < 0, n + F.lit(str(UINT64_SPAN)).cast("decimal(20,0)")).otherwise(n).cast("decimal(20,0)")
     if mode == "precise":
         return whole
     if mode == "long":
-        return F.when(n > F.lit(2**63 - 1).cast("decimal(20,0)"), n - F.lit(UINT64_SPAN).cast("decimal(20,0)")).otherwise(n).cast("bigint")
+        return F.when(n > F.lit(str(2**63 - 1)).cast("decimal(20,0)"), n - F.lit(str(UINT64_SPAN)).cast("decimal(20,0)")).otherwise(n).cast("bigint")
     raise ValueError(f"unknown mode for unsigned 64-bit numbers: {mode}")
 
 

@@ -37,8 +37,7 @@ def epochs(transactions: DataFrame, start: dict[str, tuple[str, int]] | None = N
     known = F.col("before").isNotNull()
     d = d.withColumn("step", F.when(known, epoch_step(F.col("before"), F.col("gtid"))).otherwise(F.col("base").cast("int"))).withColumn("fresh", (~known).cast("int"))
     block = F.floor(F.col("txn_no") / BLOCK)
-    d = running_sum(d, ["stream", "shard"], ["txn_no"], block, F.col("step"), "_sum")
-    d = running_sum(d, ["stream", "shard"], ["txn_no"], block, F.col("fresh"), "_island")
+    d = running_sum(d, ["stream", "shard"], ["txn_no"], block, _sum=F.col("step"), _island=F.col("fresh"))
     at_start = d.groupBy("stream", "shard", "_island").agg(F.min(F.col("_sum")).alias("_low"), F.max(F.when(F.col("fresh") == 1, F.col("base"))).alias("_base"))
     return d.join(at_start, ["stream", "shard", "_island"]).where("txn_no > 0").select("stream", "txn_no", "shard", "gtid", (F.col("_sum") - F.col("_low") + F.col("_base")).cast("bigint").alias("epoch"))
 

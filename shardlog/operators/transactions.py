@@ -31,27 +31,33 @@ def place() -> Column:
 
 
 def assemble(events: DataFrame) -> DataFrame:
-    """events with txn_no, txn_vgtid (the last VGTID of the transaction), commit_ts, in_copy.
+    """events with seq, txn_no, txn_vgtid (the last VGTID of the unit), commit_ts, in_copy.
 
-    A DDL, OTHER or HEARTBEAT event outside a transaction is a unit of its own. Units without a VGTID are dropped, unless they hold a
-    heartbeat. Events that carry nothing (VERSION and unknown types) stay in their unit and are skipped by later operators.
+    A unit ends with the response that closes its transaction, or holds a DDL, OTHER or HEARTBEAT event; what is open at the log's end
+    is left out. Units without a VGTID are dropped, unless they hold a heartbeat. All of this is decided on one row per response, then
+    per unit; events themselves are joined once.
     """
-    e = events.withColumn("seq", place())
-    # A unit starts at BEGIN, at a flushing event outside BEGIN..COMMIT, and at whatever follows a COMMIT or a flush.
-    opens = F.when(F.col("type") == BEGIN, 1).when(F.col("type") == COMMIT, -1).otherwise(0)
+    kind = F.col("type")
+    flag = lambda c: F.max(c.cast("int"))
+    r = events.groupBy("stream", "response_no").agg(
+        F.sum(F.when(kind == BEGIN, 1).when(kind == COMMIT, -1).otherwise(0)).alias("_opens"),
+        flag(kind == COMMIT).alias("_commit"),
+        flag(kind.isin(*FLUSHING)).alias("_flush"),
+        flag(kind == HEARTBEAT).alias("_beat"),
+        F.sum((kind == COPY_COMPLETED).cast("int")).alias("_copies"),
+        F.max(F.when(kind == COMMIT, F.col("ts_sec"))).alias("_ts"),
+        F.max_by(F.when(kind == VGTID, F.col("vgtid")), F.when(kind == VGTID, F.col("event_no"))).alias("_vgtid"),
+    )
     block = F.floor(F.col("response_no") / BLOCK)
-    e = running_sum(e, ["stream"], ["seq"], block, opens, "_open")
-    ends = ((F.col("type") == COMMIT) | (F.col("type").isin(*FLUSHING) & (F.col("_open") == 0))).cast("int")
-    # What lies between an end and the next one belongs to the later unit.
-    e = running_sum(e, ["stream"], ["seq"], block, ends, "_ended").withColumn("txn_no", F.col("_ended") - ends + 1)
-    e = running_sum(e, ["stream"], ["seq"], block, (F.col("type") == COPY_COMPLETED).cast("int"), "_copied")
-    unit = Window.partitionBy("stream", "txn_no")
-    last = F.max_by(F.when(F.col("type") == VGTID, F.col("vgtid")), F.when(F.col("type") == VGTID, F.col("seq"))).over(unit)
-    commit = F.max(F.when(F.col("type") == COMMIT, F.col("ts_sec"))).over(unit)
-    beats = F.max((F.col("type") == HEARTBEAT).cast("int")).over(unit)
-    e = e.withColumn("txn_vgtid", last).withColumn("commit_ts", commit).withColumn("_beats", beats)
-    starts_in_copy = F.coalesce(F.col("copying"), F.lit(False)) if "copying" in events.columns else F.lit(False)
-    return e.where(F.col("txn_vgtid").isNotNull() | (F.col("_beats") == 1)).withColumn("in_copy", starts_in_copy & (F.col("_copied") == 0)).drop("_open", "_ended", "_copied", "_beats")
+    r = running_sum(r, ["stream"], ["response_no"], block, _open=F.col("_opens"), _copied=F.col("_copies"))
+    ends = ((F.col("_flush") == 1) | (F.col("_commit") == 1) & (F.col("_open") == 0)).cast("int")
+    r = running_sum(r.withColumn("_end", ends), ["stream"], ["response_no"], block, _ended=F.col("_end")).withColumn("_unit", F.col("_ended") - F.col("_end") + 1)
+    units = r.groupBy("stream", "_unit").agg(F.max("_end").alias("_end"), F.max("_beat").alias("_beat"), F.max("_copied").alias("_copied"), F.max("_ts").alias("commit_ts"), F.max_by("_vgtid", F.when(F.col("_vgtid").isNotNull(), F.col("response_no"))).alias("txn_vgtid"))
+    kept = units.where((F.col("_end") == 1) & (F.col("txn_vgtid").isNotNull() | (F.col("_beat") == 1)))
+    numbered = running_sum(kept, ["stream"], ["_unit"], F.floor(F.col("_unit") / BLOCK), txn_no=F.lit(1))
+    named = r.select("stream", "response_no", "_unit").join(numbered, ["stream", "_unit"]).select("stream", "response_no", "txn_no", "txn_vgtid", "commit_ts", "_copied")
+    copying = F.coalesce(F.col("copying"), F.lit(False)) if "copying" in events.columns else F.lit(False)
+    return events.join(named, ["stream", "response_no"]).select(*events.columns, place().alias("seq"), "txn_no", "txn_vgtid", "commit_ts", (copying & (F.col("_copied") == 0)).alias("in_copy"))
 
 
 class ProtocolError(ValueError):
