@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod
+from ._common import crc_mod, smallest_hashed
 
 ORDERS = (3, 4, 5)
 BITS = 18
@@ -109,10 +109,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, held_out_mod:
     prior = shares.get(1, 0) / total if total else 0.0
     if len(shares) < 2:
         return fit_arrays([], np.empty(0, np.int64), prior)
-    order = F.xxhash64("doc_id")
     picked = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(order, "doc_id").limit(per_class)
+        part = smallest_hashed(known.where(F.col("y") == y), ["doc_id"], per_class, shares[y])
         picked = part if picked is None else picked.unionByName(part)
     rows = picked.collect()  # at most 2 * per_class pairs
     picked = spark.createDataFrame(rows, "doc_id long, y int")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._common import smallest_hashed
+
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _AFTER = re.compile(r"[/?#]")
 
@@ -174,7 +176,7 @@ def fit(pages: DataFrame, rules: Rules, sample: int = 20_000) -> UrlModel:
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in got], pa.string()), pa.array([a for _, a in got], pa.bool_())], ["url", "allow"])
 
     labelled = pages.select("url").where("url is not null").mapInArrow(label, "url string, allow boolean")
-    rows = labelled.orderBy(F.xxhash64("url"), "url").limit(sample).collect()  # top-k per task, then merged: bounded by sample
+    rows = smallest_hashed(labelled, ["url"], sample, labelled.count()).collect()
     return fit_urls([r["url"] for r in rows], np.array([r["allow"] for r in rows], bool))
 
 
