@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch
+from ._common import Scratch, slices
 
 DEPTH = 5
 RESOLUTION = 20
@@ -83,7 +83,7 @@ def count_corpus(training: DataFrame) -> DataFrame:
             words.clear()
             keys, counts, held = [], [], 0
 
-        for b in batches:
+        for b in slices(batches):
             texts = [text_bytes(t) for t in b.column(0).to_pylist()]
             for lo in range(0, len(texts), 500):
                 part = texts[lo : lo + 500]
@@ -195,14 +195,15 @@ class Tree:
 
 
 class Lookup:
-    """Hash table of the frequent grams' values; what it does not hold is worked out from the tree."""
+    """Hash table of the frequent grams' values; others are worked out from the tree, once each while ``most`` of them are remembered."""
 
-    def __init__(self, tree: Tree, frequent: np.ndarray, values: np.ndarray):
-        self.tree, self.bits = tree, max(10, int(np.ceil(np.log2(len(frequent) + 1))) + 2)
+    def __init__(self, tree: Tree, frequent: np.ndarray, values: np.ndarray, most: int = 1_000_000):
+        self.tree, self.most, self.bits = tree, most, max(10, int(np.ceil(np.log2(len(frequent) + 1))) + 2)
         self.keys = np.full(1 << self.bits, 2**64 - 1, np.uint64)
         self.values = np.zeros(1 << self.bits, np.float32)
         at = self._slot(frequent)
         self.keys[at], self.values[at] = frequent, values  # of grams that share a slot the last stays
+        self.rare, self.rare_values = np.array([2**64 - 1], np.uint64), np.zeros(1)
 
     def _slot(self, g: np.ndarray) -> np.ndarray:
         return ((g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -212,8 +213,22 @@ class Lookup:
         out = self.values[at].astype(np.float64)
         miss = np.flatnonzero(self.keys[at] != g)
         if len(miss):
-            k, back = np.unique(g[miss], return_inverse=True)
-            out[miss] = self.tree.log10(k)[back]
+            k = g[miss]
+            order = np.argsort(k)  # sorted lookups stay in cache
+            k = k[order]
+            at = np.searchsorted(self.rare, k)
+            new = np.flatnonzero(self.rare[at] != k)
+            if len(new):
+                fresh = np.unique(k[new])
+                if len(self.rare) + len(fresh) > self.most:
+                    self.rare, self.rare_values = np.array([2**64 - 1], np.uint64), np.zeros(1)
+                    fresh = np.unique(k)
+                fresh = fresh[self.rare[np.searchsorted(self.rare, fresh)] != fresh]
+                both = np.concatenate([self.rare, fresh])
+                o = np.argsort(both)
+                self.rare, self.rare_values = both[o], np.concatenate([self.rare_values, self.tree.log10(fresh)])[o]
+                at = np.searchsorted(self.rare, k)
+            out[miss[order]] = self.rare_values[at]
         return out
 
 
@@ -228,18 +243,21 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     n_bytes = sizes.get(b"g", (0, 0))[0]
     n_all, vocabulary = sizes.get(b"w", (0, 0))
     least = max(1, n_bytes >> RESOLUTION)
-    kept = count_nodes(counts).where(F.col("n0") + F.col("n1") >= least).toPandas()  # bounded by RESOLUTION
-    tree = Tree.build(kept["node"].to_numpy().astype(np.uint64), kept["n0"].to_numpy(), kept["n1"].to_numpy())
-    often = counts.where((kind == F.lit(b"g")) & (F.col("n") >= least)).select(F.expr("substring(key, 2, 8)").alias("g"), "n").toPandas().sort_values(["n", "g"])
-    frequent = np.frombuffer(b"".join(map(bytes, often["g"])), ">u8").astype(np.uint64)
-    known = counts.where((kind == F.lit(b"w")) & (F.col("n") >= max(1, n_all >> RESOLUTION))).select(F.expr("substring(key, 2)").alias("w"), "n").toPandas()
+    kept = count_nodes(counts).where(F.col("n0") + F.col("n1") >= least).toArrow()  # bounded by RESOLUTION
+    tree = Tree.build(*(kept.column(c).to_numpy() for c in ("node", "n0", "n1")))
+    del kept
+    often = counts.where((kind == F.lit(b"g")) & (F.col("n") >= least)).select(F.expr("substring(key, 2, 8)").alias("g"), "n").toArrow()
+    frequent = np.frombuffer(b"".join(often.column("g").to_pylist()), ">u8").astype(np.uint64)
+    frequent = frequent[np.lexsort((frequent, often.column("n").to_numpy()))]
+    values = np.concatenate([tree.log10(frequent[i : i + 50_000]) for i in range(0, max(1, len(frequent)), 50_000)]).astype(np.float32)
+    known = counts.where((kind == F.lit(b"w")) & (F.col("n") >= max(1, n_all >> RESOLUTION))).select(F.expr("substring(key, 2)").alias("w"), "n").toArrow()
     floor = float(np.log10(n_all + 0.5 * (vocabulary + 1)))
-    sent = spark.sparkContext.broadcast((tree.keys, tree.one, frequent, tree.log10(frequent).astype(np.float32), dict(zip(map(bytes, known["w"]), known["n"].tolist(), strict=True))))
+    sent = spark.sparkContext.broadcast((tree.keys, tree.one, frequent, values, dict(zip(known.column("w").to_pylist(), np.log10(known.column("n").to_numpy() + 0.5).tolist(), strict=True))))
 
     def run(batches):
         keys, one, frequent, values, words = sent.value
-        lookup = Lookup(Tree(keys, one), frequent, values)
-        for b in batches:
+        lookup, get, end = Lookup(Tree(keys, one), frequent, values), words.get, words.get(END)
+        for b in slices(batches):
             texts = [text_bytes(t) for t in b.column(2).to_pylist()]
             out: list[np.ndarray] = []
             group, size = [], 0
@@ -255,19 +273,25 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 out.append(np.add.reduceat(lookup.log10(g), at[:-1]))
             tokens, seen, base, names, ns = [], [], [], [], []
             for t in texts:
-                c = Counter(t.split())
-                tokens.append(c.total() + 1)
-                c[END] += 1
-                rest, m, s = [], 0, 0.0
-                got = np.array([(n, words.get(w, 0)) for w, n in c.items()], np.float64)
-                hit = got[:, 1] > 0
-                s = float((got[hit, 0] * np.log10(got[hit, 1] + 0.5)).sum())
-                m = int(got[hit, 0].sum())
-                rest = [(w, int(n)) for (w, n), h in zip(c.items(), hit.tolist(), strict=True) if not h]
+                parts, m, s, rest, times = t.split(), 0, 0.0, [], []
+                for w, n in Counter(parts).items():
+                    v = get(w)
+                    if v is None:
+                        rest.append(w)
+                        times.append(n)
+                    else:
+                        m += n
+                        s += n * v
+                tokens.append(len(parts) + 1)
+                if end is None:
+                    rest.append(END)
+                    times.append(1)
+                else:
+                    m, s = m + 1, s + end
                 seen.append(m)
                 base.append(s)
-                names.append([w for w, _ in rest])
-                ns.append([n for _, n in rest])
+                names.append(rest)
+                ns.append(times)
             total = np.concatenate(out) if out else np.empty(0)
             lens = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tokens, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(total, pa.float64()), lens, pa.array(names, pa.list_(pa.binary())), pa.array(ns, pa.list_(pa.int64()))], ["doc_id", "held_out", "n_tokens", "seen", "base", "score", "n_bytes", "rare", "times"])
