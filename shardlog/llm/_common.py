@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +64,13 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, so that only a piece's texts are Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -69,7 +78,7 @@ def partitions(spark: SparkSession) -> int:
 class WordHashes(dict):
     """bytes of a word -> 64-bit hash; remembers a bounded number of words."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, seed: int = 0, most: int = 150_000):
         super().__init__()
         self.seed, self.most = seed, most
 

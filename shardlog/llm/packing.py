@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import Scratch
+from ._common import Scratch, slices
 
 CAPACITY, END = 4096, 1
 
@@ -51,7 +51,7 @@ class Encoder:
     split at white space, which the tokenizer drops, and each distinct string goes through the whole tokenizer once.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tok, self.most, self.letters = Tokenizer.from_file(path), most, _byte_letters()
@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches):
         enc = Encoder(tokenizer)
-        for b in batches:
+        for b in slices(batches):
             ids = b.column(0).to_pylist()
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(ids, b.column(1).to_pylist(), strict=True):

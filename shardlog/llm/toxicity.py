@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import crc_mod, smallest_hashed
+from ._common import crc_mod, slices, smallest_hashed
 
 ORDERS = (3, 4, 5)
 BITS = 18
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, held_out_mod:
 
     def slots(batches):
         seen = np.zeros(1 << BITS, np.int32)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_slots(t, seen).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "slots"])
 
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text").mapInArrow(slots, "doc_id long, y int, slots binary")
@@ -131,7 +131,7 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # 1 MB whatever the input
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             s = ToxicityModel(*shared.value).score(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
