@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import NO_ID, Scratch, WordHashes, gram_hashes, mix, partitions
+from ._common import NO_ID, Scratch, WordHashes, gram_hashes, mix, partitions, slices
 from .near_dedup import _runs
 
 ANCHOR = 6
-SEGMENT = 400_000
+SEGMENT = 250_000
 REMOVE, AGAIN = 1, 2
 _BASE = 0x9E3779B97F4A7C15
 _INV = pow(_BASE, -1, 2**64)
@@ -237,7 +237,7 @@ def _remove(docs: DataFrame, n: int, strip: bool) -> DataFrame:
         words, powers = WordHashes(), _Powers()
 
         def entries():
-            for b in batches:
+            for b in slices(batches):
                 for text, k, f in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     parts = _split(text)
                     if len(parts) >= n:
@@ -246,86 +246,68 @@ def _remove(docs: DataFrame, n: int, strip: bool) -> DataFrame:
 
         yield from _deal(entries(), buckets, True)
 
-    marks = _verdicts(keyed.select("text", "_k", "_f").mapInArrow(seeds, _DEALT), buckets, True)
-    # Digest rows of texts that are settled, whole rows of the others (pending).
-    kept = [f for f in docs.schema.fields]
-    extra = [T.StructField("_k", T.LongType()), T.StructField("_f", T.IntegerType()), T.StructField("_marks", T.BinaryType()), T.StructField("_pending", T.BooleanType()), T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType()), T.StructField("_sha", T.StringType())]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept] + extra)
-    at = {f.name: i for i, f in enumerate(schema.fields)}
-    chars = at.get("n_chars") if strip else None
-
-    def apply(batches):
-        """Columns: those of docs, _k, _f, _marks (list of binary)."""
-        for b in batches:
-            cols = [b.column(i) for i in range(len(kept))]
-            texts, new, n_chars = cols[at["text"]].to_pylist(), [], cols[chars].to_pylist() if chars is not None else None
-            found = [[], [], [], [], []]
-            for i, (text, got) in enumerate(zip(texts, b.column(len(kept) + 2).to_pylist(), strict=True)):
-                m = _triples(got)
-                pending = bool((m[:, 2] == AGAIN).any())
-                if pending:
-                    row, out = (m.tobytes(), True, 0, 0, None), text
-                else:
-                    parts = _split(text)
-                    gone = _covered(m, len(parts), n) if len(m) else np.zeros(0, bool)
-                    removed, out = int(gone.sum()), text
-                    if strip:
-                        if removed:
-                            out = _without(text, gone)
-                            if n_chars is not None:
-                                n_chars[i] = len(out)
-                        row = (None, False, len(parts), removed, None)
-                    else:
-                        left = [w for w, g in zip(parts, gone, strict=True) if not g] if removed else parts
-                        row, out = (None, False, len(parts), removed, hashlib.sha256(b" ".join(left)).hexdigest()), None
-                new.append(out)
-                for x, v in zip(found, row, strict=True):
-                    x.append(v)
-            cols[at["text"]] = pa.array(new, pa.string())
-            if n_chars is not None:
-                cols[chars] = pa.array(n_chars, cols[chars].type)
-            cols += [b.column(len(kept)), b.column(len(kept) + 1), pa.array(found[0], pa.binary()), pa.array(found[1], pa.bool_()), pa.array(found[2], pa.int64()), pa.array(found[3], pa.int64()), pa.array(found[4], pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, schema.names)
-
-    met = keyed.join(marks, ["_k", "_f"], "left").select(*(f.name for f in kept), "_k", "_f", "_marks")
-    first = scratch.save(met.mapInArrow(apply, schema), "first")
-    pending = first.where("_pending")
+    found = keyed.select("text", "_k", "_f").mapInArrow(seeds, _DEALT)
+    marks = scratch.save(_verdicts(found, buckets, True), "marks")
+    # The texts meet the verdicts twice, by the same exchange: Spark writes it once and reads it again for the second pass's verdicts.
+    met = keyed.join(marks, ["_k", "_f"], "left").select(*docs.columns, "_k", "_f", "_marks")
+    width = len(docs.columns)
 
     def singles(batches):
         words = WordHashes()
 
         def entries():
-            for b in batches:
-                for text, k, f, got in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    m = _triples([got])
-                    h = words.of(_split(text))
+            for b in slices(batches):
+                for text, k, f, got in zip(b.column(b.schema.get_field_index("text")).to_pylist(), *(b.column(width + i).to_pylist() for i in range(3)), strict=True):
+                    m = _triples(got)
                     on = m[m[:, 2] == AGAIN]
-                    starts = np.unique(np.concatenate([np.arange(lo, lo + c) for lo, c, _ in on]))
-                    a, c, lo, one = windows(h, n, starts)
-                    yield [a, c, np.full(len(a), k, np.int64), np.full(len(a), f, np.int32), lo, one]
+                    if len(on):
+                        starts = np.unique(np.concatenate([np.arange(lo, lo + c) for lo, c, _ in on]))
+                        a, c, lo, one = windows(words.of(_split(text)), n, starts)
+                        yield [a, c, np.full(len(a), k, np.int64), np.full(len(a), f, np.int32), lo, one]
 
         yield from _deal(entries(), buckets, False)
 
-    more = _verdicts(pending.select("text", "_k", "_f", "_marks").mapInArrow(singles, _DEALT), buckets, False).withColumnRenamed("_marks", "_more")
+    more = _verdicts(met.mapInArrow(singles, _DEALT), buckets, False).withColumnRenamed("_marks", "_more")
+    whole = met.join(more, ["_k", "_f"], "left").select(*docs.columns, "_marks", "_more")
+    at = {c: i for i, c in enumerate(docs.columns)}
+    out = docs.schema if strip else T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
+    out = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.fields])
 
-    def drop_again(batches):
-        for b in batches:
-            merged = []
-            for got, late in zip(b.column(len(kept) + 2).to_pylist(), b.column(len(kept) + 3).to_pylist(), strict=True):
-                m = _triples([got])
-                merged.append([np.ascontiguousarray(m[m[:, 2] == REMOVE]).tobytes(), *(late or [])])
-            cols = [*b.columns[: len(kept) + 2], pa.array(merged, pa.list_(pa.binary()))]
-            yield from apply([pa.RecordBatch.from_arrays(cols, [*(f.name for f in kept), "_k", "_f", "_marks"])])
+    def apply(batches):
+        for b in slices(batches):
+            cols = list(b.columns[:width])
+            texts, sizes, removed, digests, n_chars = [], [], [], [], None
+            if strip and "n_chars" in at:
+                n_chars = cols[at["n_chars"]].to_pylist()
+            for i, (text, got, late) in enumerate(zip(cols[at["text"]].to_pylist(), b.column(width).to_pylist(), b.column(width + 1).to_pylist(), strict=True)):
+                parts = _split(text)
+                gone = _covered(_triples([*(got or []), *(late or [])]), len(parts), n)
+                some = int(gone.sum())
+                if strip:
+                    texts.append(_without(text, gone) if some else text)
+                    if some and n_chars is not None:
+                        n_chars[i] = len(texts[-1])
+                else:
+                    left = [w for w, g in zip(parts, gone.tolist(), strict=True) if not g] if some else parts
+                    digests.append(hashlib.sha256(b" ".join(left)).hexdigest())
+                    sizes.append(len(parts))
+                    removed.append(some)
+            if not strip:
+                cols = [cols[at["doc_id"]].cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
+            else:
+                cols[at["text"]] = pa.array(texts, pa.string())
+                if n_chars is not None:
+                    cols[at["n_chars"]] = pa.array(n_chars, cols[at["n_chars"]].type)
+            yield pa.RecordBatch.from_arrays(cols, out.names)
 
-    rest = pending.join(more, ["_k", "_f"], "left").select(*(f.name for f in kept), "_k", "_f", "_marks", "_more").mapInArrow(drop_again, schema)
-    return first.where("not _pending").unionByName(rest)
+    return whole.mapInArrow(apply, out)
 
 
 def digest(docs: DataFrame, n: int = 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row of docs."""
-    return _remove(docs.select("doc_id", "text"), n, False).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_words").alias("n_words"), F.col("_removed").alias("n_removed"), F.col("_sha").alias("kept_sha256"))
+    return _remove(docs.select("doc_id", "text"), n, False)
 
 
 def strip(docs: DataFrame, n: int = 20) -> DataFrame:
     """The rows and columns of docs, their texts without what occurs earlier."""
-    return _remove(docs, n, True).select(*docs.columns)
+    return _remove(docs, n, True)
