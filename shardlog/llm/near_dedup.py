@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Scratch, WordHashes, gram_hashes, mix, partitions
+from ._common import Scratch, WordHashes, gram_hashes, mix, partitions, slices
 from ._graph import components
 
 BANDS, ROWS, BITS = 32, 4, 512
@@ -96,7 +96,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         words = WordHashes()
-        for b in batches:
+        for b in slices(batches):
             ns, f, sk, bd = [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, n, words)
@@ -205,8 +205,8 @@ def _bloom(ids: DataFrame) -> np.ndarray:
     bits = ids.select(F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in (0, 1)))).alias("bit"))
     words = bits.groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("m"))
     out = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
-    for r in words.toLocalIterator():
-        out[r["w"]] = r["m"]
+    got = words.toArrow()  # at most as many rows as the bitmap has words
+    out[got.column("w").to_numpy()] = got.column("m").to_numpy().astype(np.uint32)
     return out
 
 
@@ -216,7 +216,7 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         words, bloom = WordHashes(), sent.value
-        for b in batches:
+        for b in slices(batches):
             at = [b.column(k).to_numpy() for k in (2, 3)]
             hit = np.logical_and(*((bloom[x >> 5] >> (x & 31).astype(np.uint32)) & 1 for x in at))
             rows = np.flatnonzero(hit)
@@ -231,7 +231,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b, linked (100 * |intersection| >= percent * |union|)."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 200):
             ok = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
