@@ -38,6 +38,18 @@ def unpack(row: Column) -> Column:
     return F.when(row.isNull(), F.lit(None)).when(total == F.coalesce(F.length(values), F.lit(0)), folded).otherwise(F.raise_error(F.lit("lengths of a row do not add up to its bytes")).cast("array<binary>"))
 
 
+def cells(row: Column, n: int) -> list[Column]:
+    """The n cells of a packed row, by plain expressions that compile; another number of lengths, or lengths that don't add up to the
+    bytes, are errors."""
+    size = lambda i: F.greatest(row["lengths"][i], F.lit(0).cast("bigint")).cast("int")
+    starts = [F.lit(1)]
+    for i in range(n):
+        starts.append(starts[-1] + size(i))
+    bad = F.when(F.size(row["lengths"]) != n, F.lit("row and schema differ in their number of columns")).when(starts[-1] - 1 != F.coalesce(F.length(row["values"]), F.lit(0)), F.lit("lengths of a row do not add up to its bytes"))
+    values = F.when(row.isNotNull() & bad.isNotNull(), F.raise_error(bad).cast("binary")).otherwise(row["values"])
+    return [F.when(row["lengths"][i] >= 0, F.substring(values, starts[i], size(i))) for i in range(n)]
+
+
 def text(cell: Column) -> Column:
     return cell.cast("string")
 

@@ -134,3 +134,19 @@ def cursor_after(columns: list[Column], last: list) -> Column:
         return columns[0] > F.lit(last[0])
     here, there = (F.struct(*(c.alias(f"k{i}") for i, c in enumerate(x))) for x in (columns, [F.lit(v).cast("bigint") if isinstance(v, int) else F.lit(v) for v in last]))
     return here > there
+
+
+def cursor_cells(v: Column, shard: Column, table: Column) -> Column:
+    """Text cells of a table's last copied key in a shard's position; null where there is no cursor."""
+    pk = F.get(F.filter(F.get(F.filter(v, lambda x: x["shard"] == shard), F.lit(0))["table_p_ks"], lambda t: t["table_name"] == table), F.lit(0))["lastpk"]
+    row = F.get(pk["rows"], F.lit(0))
+    lengths = F.transform(row["lengths"], lambda n: n.cast("int"))
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("cells"))
+    cell = lambda acc, n: F.when(n >= 0, F.substring(F.unbase64(row["values"]), acc["at"], n).cast("string"))
+    return F.aggregate(lengths, start, lambda acc, n: F.struct((acc["at"] + F.greatest(n, F.lit(0))).alias("at"), F.concat(acc["cells"], F.array(cell(acc, n))).alias("cells")), lambda acc: acc["cells"])
+
+
+def start_epochs(stored: dict[str, int], stored_generation: int | None, generation: int) -> dict[str, int]:
+    """Epochs that a task goes on from: one more each where the connector's generation changed since they were stored."""
+    moved = stored_generation is not None and stored_generation != generation
+    return {s: e + moved for s, e in stored.items()}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decode import DecodeOptions, unpack, value
+from ..functions.decode import DecodeOptions, cells, unpack, value
 from ..functions.types import check_names, kind_of
 from .schema_history import cells_by_name, key_names
 
@@ -37,10 +39,12 @@ def transaction_struct(ordered: bool = False) -> Column:
     return F.struct(*base, *(more if ordered else []))
 
 
-def envelope(changes: DataFrame, server: str, before: Column, after: Column, transaction: Column | None = None) -> DataFrame:
-    """changes with op, before (not of inserts), after (not of deletes), source and transaction as a record column."""
+def envelope(changes: DataFrame, server: str, before: Column, after: Column, transaction: Column | None = None, source: Callable[[str], Column] = source_struct) -> DataFrame:
+    """changes with op, before (not of inserts), after (not of deletes), source and transaction as a record column.
+
+    source: makes the source block from the server's name; another one may be given."""
     op = op_code(F.col("op"))
-    parts = [F.when(F.col("op") != "INSERT", before).alias("before"), F.when(F.col("op") != "DELETE", after).alias("after"), source_struct(server).alias("source"), op.alias("op")]
+    parts = [F.when(F.col("op") != "INSERT", before).alias("before"), F.when(F.col("op") != "DELETE", after).alias("after"), source(server).alias("source"), op.alias("op")]
     if transaction is not None:
         parts.append(transaction.alias("transaction"))
     return changes.withColumn("record", F.struct(*parts))
@@ -54,15 +58,25 @@ def raw_images(changes: DataFrame) -> DataFrame:
     return d.withColumn("key_before", pick(F.col("before"))).withColumn("key", F.coalesce(pick(F.col("after")), pick(F.col("before"))))
 
 
-def typed(image: Column, fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> Column:
-    """A typed struct of a raw image for one schema version. Columns come by name; unknown kinds are left out unless asked for."""
+def _struct(cell: Callable[[int, str], Column], there: Column, fields: list, options: DecodeOptions | None, labels_as_text: bool) -> Column:
     check_names([f["name"] for f in fields])
     out = []
-    for f in fields:
+    for i, f in enumerate(fields):
         kind = kind_of(f["type"], f["column_type"], f["flags"] or 0, f["column_length"], labels_as_text)
-        if (v := value(F.element_at(image, F.lit(f["name"])), kind, options, f["type"])) is not None:
+        if (v := value(cell(i, f["name"]), kind, options, f["type"])) is not None:
             out.append(v.alias(f["name"]))
-    return F.when(image.isNotNull(), F.struct(*out))
+    return F.when(there, F.struct(*out))
+
+
+def typed(image: Column, fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> Column:
+    """A typed struct of a raw image (map) for one schema version. Columns come by name; unknown kinds are left out unless asked for."""
+    return _struct(lambda _, name: F.element_at(image, F.lit(name)), image.isNotNull(), fields, options, labels_as_text)
+
+
+def typed_row(row: Column, fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> Column:
+    """The same straight from a packed row, columns by position: all of it compiles, and columns that nobody reads are not decoded."""
+    found = cells(row, len(fields))
+    return _struct(lambda i, _: found[i], row.isNotNull(), fields, options, labels_as_text)
 
 
 def split_key_updates(changes: DataFrame, key_before: Column, key_after: Column, tombstones: bool = True) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.position import epoch_step, gtid_rank, parse_vgtid
+from ..sources.scratch import cut
 from .running import running_sum
 
 BLOCK = 65_536
@@ -27,17 +28,19 @@ def epochs(transactions: DataFrame, start: dict[str, tuple[str, int]] | None = N
     the step between the two GTIDs; one that was not starts at 0. Neighbours meet by an equi-join on txn_no, and epochs are running
     sums over blocks, so one long stream is spread over tasks.
     """
-    p = shard_positions(transactions)
+    p = cut(shard_positions(transactions), "positions")
     begin = [F.struct(F.lit(s).alias("shard"), F.lit(g).alias("gtid"), F.lit(e).cast("bigint").alias("base")) for s, (g, e) in (start or {}).items()]
     known_before = F.array(*begin) if begin else F.array().cast("array<struct<shard:string,gtid:string,base:bigint>>")
-    first = transactions.select("stream").distinct().select("stream", F.lit(0).cast("bigint").alias("txn_no"), F.inline(known_before))
+    first = p.select("stream").distinct().select("stream", F.lit(0).cast("bigint").alias("txn_no"), F.inline(known_before))
     all_ = p.withColumn("base", F.lit(0).cast("bigint")).unionByName(first.select("stream", "txn_no", "shard", "gtid", "base"))
     prev = all_.select("stream", (F.col("txn_no") + 1).alias("txn_no"), "shard", F.col("gtid").alias("before"))
     d = all_.join(prev, ["stream", "txn_no", "shard"], "left")
     known = F.col("before").isNotNull()
     d = d.withColumn("step", F.when(known, epoch_step(F.col("before"), F.col("gtid"))).otherwise(F.col("base").cast("int"))).withColumn("fresh", (~known).cast("int"))
     block = F.floor(F.col("txn_no") / BLOCK)
+    d = cut(d.drop("before"), "steps")
     d = running_sum(d, ["stream", "shard"], ["txn_no"], block, _sum=F.col("step"), _island=F.col("fresh"))
+    d = cut(d, "sums")
     at_start = d.groupBy("stream", "shard", "_island").agg(F.min(F.col("_sum")).alias("_low"), F.max(F.when(F.col("fresh") == 1, F.col("base"))).alias("_base"))
     return d.join(at_start, ["stream", "shard", "_island"]).where("txn_no > 0").select("stream", "txn_no", "shard", "gtid", (F.col("_sum") - F.col("_low") + F.col("_base")).cast("bigint").alias("epoch"))
 

@@ -16,7 +16,10 @@ def versions(events: DataFrame, exclude_keyspace: bool = False) -> DataFrame:
     keyspace, table = table_name(exclude_keyspace)
     named = F.when(F.exists("fields", lambda f: (F.coalesce(f["name"], F.lit("")) == "") | f["name"].startswith("@")), F.raise_error(F.lit("illegal column name")).cast("string"))
     v = events.where(F.col("type") == FIELD).select("stream", "shard", keyspace.alias("keyspace"), table.alias("table"), place().alias("from_seq"), F.when(named.isNull(), F.col("fields")).alias("fields"))
-    return v.withColumn("to_seq", F.lead("from_seq").over(Window.partitionBy(*_TABLE).orderBy("from_seq")))
+    order = Window.partitionBy(*_TABLE).orderBy("from_seq")
+    # A schema that is sent again changes nothing, so a history is as long as the table's real changes.
+    v = v.where("fields is not null").withColumn("_before", F.lag("fields").over(order)).where(~F.col("fields").eqNullSafe(F.col("_before"))).drop("_before")
+    return v.withColumn("to_seq", F.lead("from_seq").over(order))
 
 
 def with_schema(changes: DataFrame, history: DataFrame, most: int = 200_000) -> DataFrame:

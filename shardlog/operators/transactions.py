@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut
 from .running import running_sum
 
 #: Responses per block of the running totals.
@@ -35,7 +36,7 @@ def assemble(events: DataFrame) -> DataFrame:
 
     A unit ends with the response that closes its transaction, or holds a DDL, OTHER or HEARTBEAT event; what is open at the log's end
     is left out. Units without a VGTID are dropped, unless they hold a heartbeat. All of this is decided on one row per response, then
-    per unit; events themselves are joined once.
+    per unit, in small tables that are written as they come; events themselves are joined once.
     """
     kind = F.col("type")
     flag = lambda c: F.max(c.cast("int"))
@@ -48,10 +49,12 @@ def assemble(events: DataFrame) -> DataFrame:
         F.max(F.when(kind == COMMIT, F.col("ts_sec"))).alias("_ts"),
         F.max_by(F.when(kind == VGTID, F.col("vgtid")), F.when(kind == VGTID, F.col("event_no"))).alias("_vgtid"),
     )
+    r = cut(r, "responses")
     block = F.floor(F.col("response_no") / BLOCK)
     r = running_sum(r, ["stream"], ["response_no"], block, _open=F.col("_opens"), _copied=F.col("_copies"))
     ends = ((F.col("_flush") == 1) | (F.col("_commit") == 1) & (F.col("_open") == 0)).cast("int")
-    r = running_sum(r.withColumn("_end", ends), ["stream"], ["response_no"], block, _ended=F.col("_end")).withColumn("_unit", F.col("_ended") - F.col("_end") + 1)
+    r = running_sum(cut(r.withColumn("_end", ends), "closed"), ["stream"], ["response_no"], block, _ended=F.col("_end"))
+    r = cut(r.withColumn("_unit", F.col("_ended") - F.col("_end") + 1), "units")
     units = r.groupBy("stream", "_unit").agg(F.max("_end").alias("_end"), F.max("_beat").alias("_beat"), F.max("_copied").alias("_copied"), F.max("_ts").alias("commit_ts"), F.max_by("_vgtid", F.when(F.col("_vgtid").isNotNull(), F.col("response_no"))).alias("txn_vgtid"))
     kept = units.where((F.col("_end") == 1) & (F.col("txn_vgtid").isNotNull() | (F.col("_beat") == 1)))
     numbered = running_sum(kept, ["stream"], ["_unit"], F.floor(F.col("_unit") / BLOCK), txn_no=F.lit(1))
@@ -157,7 +160,7 @@ def table_name(exclude_keyspace: bool = False) -> tuple[Column, Column]:
     parts = F.split(F.col("table"), r"\.")
     if exclude_keyspace:
         return F.col("keyspace"), F.element_at(parts, -1)
-    ok = F.when(F.size(parts) == 2, parts).otherwise(F.raise_error(F.concat(F.lit("not keyspace.table: "), F.col("table"))).cast("array<string>"))
+    ok = F.when(F.col("table").isNull() | (F.size(parts) == 2), parts).otherwise(F.raise_error(F.concat(F.lit("not keyspace.table: "), F.col("table"))).cast("array<string>"))
     return F.get(ok, F.lit(0)), F.get(ok, F.lit(1))
 
 
@@ -185,6 +188,14 @@ def offsets(units: DataFrame) -> DataFrame:
     return t.join(before, ["stream", "txn_no"], "left")
 
 
+def resume(units: DataFrame, positions: DataFrame) -> DataFrame:
+    """Units after each stream's stored position (stream, vgtid): a restart repeats the unit after it as a whole. A stream without a
+    stored position, or whose position the log does not hold, starts at its beginning."""
+    p = positions.select(F.col("stream").alias("_s"), F.col("vgtid").alias("_v"))
+    last = units.join(p, (units["stream"] == p["_s"]) & (units["txn_vgtid"] == p["_v"])).groupBy(F.col("stream").alias("_s")).agg(F.max("txn_no").alias("_last"))
+    return units.join(last, units["stream"] == last["_s"], "left").where(F.col("txn_no") > F.coalesce("_last", F.lit(0))).drop("_s", "_last")
+
+
 def counters(changes: DataFrame) -> DataFrame:
     """changes with total_order (in the transaction) and data_collection_order (in the transaction and table), from 1."""
     total = Window.partitionBy("stream", "txn_no").orderBy("seq", "change_no")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,7 @@ from ..functions import ddl, decode, position
 from ..functions.types import ColumnType
 from ..operators import envelope, filters, ordering, routing, schema_history, transactions, transforms
 from ..sources import metadata, snapshot, synth
+from ..sources.scratch import folder
 from . import planner
 from .config import Config
 
@@ -35,12 +34,6 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='shardlog-')}"
-    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ---- transactions
 
 #: The order log's transactions in SQL: inserts by key, then deletes by key.
@@ -55,9 +48,9 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
     """Row changes of the order log with typed images."""
     events = synth.order_log(_t(spark, sf, "orders"))
     changes = transactions.row_changes(transactions.assemble(events))
-    raw = envelope.raw_images(schema_history.with_schema(changes, schema_history.versions(events)))
+    met = schema_history.with_schema(changes, schema_history.versions(events))
     fields = [{"name": n, "type": t, "column_type": c, "flags": f, "column_length": 0} for n, t, c, f in synth.FIELDS]
-    return raw.withColumn("before", envelope.typed(F.col("before"), fields)).withColumn("after", envelope.typed(F.col("after"), fields))
+    return met.withColumn("before", envelope.typed_row(F.col("before"), fields)).withColumn("after", envelope.typed_row(F.col("after"), fields))
 
 
 @query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 <> 0")
@@ -427,6 +420,111 @@ def dedupe_shards(spark: SparkSession, sf: str) -> DataFrame:
     return metadata.serving_shards(rows, "ks")
 
 
+@query("SELECT p_partkey FROM part WHERE regexp_full_match('ks.' || p_brand, 'ks\\.Brand#1.*')")
+def snapshot_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables to copy; an empty list adds none."""
+    p = _t(spark, sf, "part").withColumn("keyspace", F.lit("ks"))
+    some = p.where(filters.snapshot_included(F.col("keyspace"), F.col("p_brand"), r"ks\.Brand#1.*"))
+    return some.union(p.where(filters.snapshot_included(F.col("keyspace"), F.col("p_brand"), ""))).select("p_partkey")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type <> 'error'")
+def drop_transaction_records(spark: SparkSession, sf: str) -> DataFrame:
+    e = _t(spark, sf, "events").withColumn("record_kind", F.when(F.col("event_type") == "error", "transaction").when(F.col("event_type") == "view", F.lit(None)).otherwise("data"))
+    return transforms.filter_transactions()(e).select("event_id", "event_type")
+
+
+@query("SELECT event_id FROM events WHERE event_id % 3 <> 1 AND event_type <> 'click'")
+def well_named_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Known events with keyspace.table names; clicks stand for VERSION events."""
+    i = F.col("event_id")
+    e = _t(spark, sf, "events").withColumn("type", F.when(F.col("event_type") == "click", "VERSION").when(i % 3 == 2, "BEGIN").otherwise("ROW")).withColumn("table", F.when(i % 3 == 0, "ks.t").when(i % 3 == 1, "t"))
+    return filters.meaningful(filters.well_named(e)).select("event_id")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0")
+def after_images(spark: SparkSession, sf: str) -> DataFrame:
+    """New images alone; deletes have none."""
+    c = _typed(spark, sf).select("op", F.struct(F.col("after").alias("after")).alias("record"))
+    return envelope.after_only(c).select("o_orderkey", "o_orderstatus")
+
+
+@query("""SELECT n_nationkey + 1 AS txn_no, 'changes' AS topic, 'CREATE' AS change_type, '"0"."ks"."t' || n_nationkey || '"' AS table_id, 'g' || n_nationkey AS vgtid FROM nation WHERE n_nationkey % 2 = 0""")
+def schema_change_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """DDL events on their topic, from a log of one DDL or OTHER event per response."""
+    k = F.col("n_nationkey")
+    n = _t(spark, sf, "nation")
+    base = n.select(F.lit("s0").alias("stream"), k.cast("bigint").alias("response_no"), F.lit(1000).cast("bigint").alias("ts_sec"), F.lit("ks").alias("keyspace"), F.lit("0").alias("shard"), k)
+    ddls = base.select("*", F.lit(0).alias("event_no"), F.when(k % 2 == 0, "DDL").otherwise("OTHER").alias("type"), F.concat(F.lit("create table t"), k, F.lit(" (id int)")).alias("statement"), F.lit(None).cast("string").alias("vgtid"))
+    places = base.select("*", F.lit(1).alias("event_no"), F.lit("VGTID").alias("type"), F.lit(None).cast("string").alias("statement"), F.concat(F.lit("g"), k).alias("vgtid"))
+    m = transactions.messages(transactions.assemble(ddls.unionByName(places)))
+    return routing.schema_change_records(m, routing.TopicNaming("pre", schema_topic="changes"), True).select("txn_no", "topic", "change_type", "table_id", "vgtid")
+
+
+@query("""SELECT o_orderkey, 'pre.orders' AS topic, '{"key":{"o_orderkey":' || o_orderkey || '}}' AS key, CASE WHEN o_orderkey % 7 <> 0 THEN '{"status":"' || o_orderstatus || '","note":null}' END AS value FROM orders""")
+def json_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys and values as JSON; tombstones have no value."""
+    o = _t(spark, sf, "orders").select("o_orderkey", F.lit("ks").alias("keyspace"), F.lit("orders").alias("table"), F.struct("o_orderkey").alias("key"), F.struct(F.col("o_orderstatus").alias("status"), F.lit(None).cast("string").alias("note")).alias("record"), (F.col("o_orderkey") % 7 == 0).alias("tombstone"))
+    j = routing.to_json(routing.route(o, routing.TopicNaming("pre")))
+    return j.select(F.get_json_object("key", "$.key.o_orderkey").cast("bigint").alias("o_orderkey"), "topic", "key", "value")
+
+
+@query("SELECT o_orderkey, count(*) AS n, 1 AS columns FROM (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0) GROUP BY 1")
+def record_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys by each row's own schema (the primary key's columns)."""
+    events = synth.order_log(_t(spark, sf, "orders"))
+    raw = envelope.raw_images(schema_history.with_schema(transactions.row_changes(transactions.assemble(events)), schema_history.versions(events)))
+    key = raw.select(F.element_at("key", F.lit("o_orderkey")).cast("string").cast("bigint").alias("o_orderkey"), F.size("key").alias("columns"))
+    return key.groupBy("o_orderkey", "columns").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT event_id FROM events WHERE event_id > 1000 OR (SELECT max(event_id) FROM events) < 1000")
+def resume_after(spark: SparkSession, sf: str) -> DataFrame:
+    """Units after the stored position."""
+    i = F.col("event_id")
+    u = _t(spark, sf, "events").select("event_id", F.lit("s0").alias("stream"), (i + 1).alias("txn_no"), F.concat(F.lit("g"), i).alias("txn_vgtid"))
+    return transactions.resume(u, spark.range(1).select(F.lit("s0").alias("stream"), F.lit("g1000").alias("vgtid"))).select("event_id")
+
+
+@query("""SELECT n_nationkey, '{"-80":' || (n_nationkey + 1) || ',"80-":1}' AS bumped FROM nation""")
+def epoch_maps(spark: SparkSession, sf: str) -> DataFrame:
+    """Epoch maps a generation later, with sorted keys."""
+    m = position.parse_epoch_map(F.concat(F.lit('{"80-":0,"-80":'), F.col("n_nationkey"), F.lit("}")))
+    return _t(spark, sf, "nation").select("n_nationkey", position.epoch_map_json(position.bump_epochs(m)).alias("bumped"))
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN '[{"keyspace":"ks","shard":"s' || n_nationkey || '","gtid":"current","table_p_ks":[]}]' ELSE '[{"keyspace":"ks","shard":"","gtid":"current","table_p_ks":[]}]' END AS vgtid FROM nation""")
+def default_positions(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("n_nationkey")
+    shards = F.when(k % 2 == 0, F.array(F.concat(F.lit("s"), k))).otherwise(F.array().cast("array<string>"))
+    return _t(spark, sf, "nation").select("n_nationkey", position.vgtid_json(position.make_vgtid(F.lit("ks"), shards, F.transform(shards, lambda _: F.lit("current")))).alias("vgtid"))
+
+
+@query("SELECT r_regionkey::VARCHAR || '|' || r_name AS cells FROM region")
+def result_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Packed result rows of a metadata query, as text."""
+    r = _t(spark, sf, "region").select(decode.pack([F.col("r_regionkey"), F.lit(None).cast("string"), F.col("r_name")]).alias("row"))
+    return metadata.decode_result(r).select(F.array_join("cells", "|").alias("cells"))
+
+
+@query("SELECT 'task' || t || '_4_2' AS task_key FROM (SELECT unnest([1, 3]) AS t)")
+def missing_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Tasks of a generation without a stored offset; regions 0 and 2 stand for tasks that have one."""
+    have = _t(spark, sf, "region").where("r_regionkey in (0, 2)").select(F.lit("srv").alias("server"), F.format_string("task%d_4_2", "r_regionkey").alias("task_key"))
+    return planner.missing_offsets(have, "srv", 4, 2)
+
+
+@query("SELECT event_id, event_id < 500 AND (SELECT max(event_id) FROM events) >= 0 AS in_copy FROM events")
+def copy_phase(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows before COPY_COMPLETED are copied; event 500 completes the copy. One event per transaction."""
+    i = F.col("event_id")
+    mark = lambda n, kind, **more: F.struct(F.lit(n).alias("event_no"), F.lit(kind).alias("type"), more.get("vgtid", F.lit(None).cast("string")).alias("vgtid"))
+    done = F.when(i == 500, F.array(mark(0, "COPY_COMPLETED"))).otherwise(F.array().cast("array<struct<event_no:int,type:string,vgtid:string>>"))
+    parts = F.concat(done, F.array(mark(1, "BEGIN"), mark(2, "ROW"), mark(3, "VGTID", vgtid=F.concat(F.lit("g"), i)), mark(4, "COMMIT")))
+    e = _t(spark, sf, "events").select("event_id", F.lit("s0").alias("stream"), i.alias("response_no"), F.lit(True).alias("copying"), F.lit(1).cast("bigint").alias("ts_sec"), F.inline(parts))
+    return transactions.assemble(e).where(F.col("type") == "ROW").select("event_id", "in_copy")
+
+
 # ---- end to end, and streaming
 
 
@@ -444,7 +542,7 @@ def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
 
 def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A stream run to its present end, as a table."""
-    out, check = scratch(spark, name), scratch(spark, f"{name}-checkpoint")
+    out, check = folder(spark, name), folder(spark, f"{name}-checkpoint")
     q = df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
@@ -458,7 +556,7 @@ def stream_assemble(spark: SparkSession, sf: str) -> DataFrame:
 
     spark.conf.set(*STATE_STORE)
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("o_orderkey"), F.col("n_regionkey").cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"), F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate"))
-    log = scratch(spark, "log")
+    log = folder(spark, "log")
     synth.order_log(n).coalesce(1).write.parquet(log)
     done = _drain(spark, assemble_stream(stream_log(spark, log)), "assembled")
     return done.groupBy("txn_no").agg(F.count(F.lit(1)).cast("int").alias("n_events"))
@@ -475,7 +573,7 @@ def stream_epochs(spark: SparkSession, sf: str) -> DataFrame:
     shards = F.when(k < 10, F.array(F.lit("-80"), F.lit("80-"))).otherwise(F.array(F.lit("-40"), F.lit("40-80"), F.lit("80-")))
     gtid = F.concat(F.lit("MySQL56/h"), F.floor(k / 5), F.lit(":1-"), k)
     v = position.vgtid_json(position.make_vgtid(F.lit("ks"), shards, F.transform(shards, lambda _: gtid)))
-    log = scratch(spark, "positions")
+    log = folder(spark, "positions")
     t = _t(spark, sf, "nation").select(F.lit("s0").alias("stream"), (k + 1).cast("bigint").alias("txn_no"), v.alias("vgtid"))
     t.coalesce(1).write.parquet(log)
     return _drain(spark, epoch_stream(spark.readStream.schema(t.schema).parquet(log), inherit=True), "epochs").select("txn_no", "shard", "epoch")

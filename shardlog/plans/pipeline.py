@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import envelope, filters, ordering, routing, schema_history, transactions, transforms
+from ..sources.scratch import cut
 from .config import Config
 
 
@@ -25,11 +26,11 @@ def naming(config: Config) -> routing.TopicNaming:
 
 
 def build(events: DataFrame, config: Config, strict: bool = False) -> Outputs:
-    """All four outputs and the offsets of a log. Images are maps of raw text cells; ``envelope.typed`` types one table's.
+    """All four outputs and the offsets of a log. Assembled events are written once, and each output reads the columns that it needs. Images are maps of raw text cells; ``envelope.typed`` types one table's.
 
     Row changes of tables that are filtered out are dropped before schemas are matched or rows unpacked.
     """
-    units = transactions.assemble_strict(events, config.start_gtid() == "") if strict else transactions.assemble(events)
+    units = cut(transactions.assemble_strict(events, config.start_gtid() == "") if strict else transactions.assemble(events), "events")
     names = naming(config)
     changes = filters.filter_tables(transactions.row_changes(units, config.exclude_keyspace_from_table_name), config.table_include, config.table_exclude)
     history = filters.filter_tables(schema_history.versions(events, config.exclude_keyspace_from_table_name), config.table_include, config.table_exclude)

@@ -152,6 +152,9 @@ def test_pipeline(spark):
         assert [(r.change_type, r.table_id) for r in out.schema_changes.collect()] == [("ALTER", '"0"."ks"."t"')]
         assert sorted((r.status, r.event_count or 0) for r in out.transactions.collect()) == [("BEGIN", 0)] * 3 + [("END", 1)] * 3
         assert out.heartbeats.count() == 4 and {r.restart_vgtid for r in out.offsets.collect()} == {None, vgtid(1), vgtid(2), vgtid(3), vgtid(4)}
+    units = transactions.assemble(log)
+    after = transactions.resume(units, spark.createDataFrame([("s0", vgtid(2))], "stream string, vgtid string"))
+    assert {r.txn_no for r in after.collect()} == {3, 4, 5} and transactions.resume(units, spark.createDataFrame([], "stream string, vgtid string")).count() == units.count()
     none = pipeline.build(log, Config(server="srv", keyspace="ks", table_exclude="ks\\.t"))
     assert none.data.count() == 0 and none.schema_changes.count() == 0
     as_json = routing.to_json(out.data).collect()

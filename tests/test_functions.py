@@ -54,7 +54,7 @@ def test_numbers(spark):
 
 def test_enum_and_set(spark):
     options = ("2", "0", "1")
-    assert [val(spark, x, "enum", options=None, **{}) if False else one(spark, decode.enum_value(F.lit(x), options).alias("v")).v for x in ("1", "3", "0", "4", "small")] == ["2", "1", "", "", "small"]
+    assert [one(spark, decode.enum_value(F.lit(x), options).alias("v")).v for x in ("1", "3", "0", "4", "small")] == ["2", "1", "", "", "small"]
     assert [one(spark, decode.set_labels(F.lit(m).cast("bigint"), ("a", "b")).alias("v")).v for m in (0, 1, 3, 5)] == ["", "a", "a,b", "a,"]
     assert one(spark, decode.set_labels(F.lit(None).cast("bigint"), ("a",)).alias("v")).v is None
 
@@ -98,7 +98,12 @@ def test_bytes(spark):
 def test_unpack(spark):
     row = F.struct(F.array(*(F.lit(n).cast("bigint") for n in (1, -1, 3, 0))).alias("lengths"), F.lit(b"abcd").alias("values"))
     assert one(spark, decode.unpack(row).alias("v")).v == [b"a", None, b"bcd", b""]
+    assert list(one(spark, *(c.alias(f"c{i}") for i, c in enumerate(decode.cells(row, 4))))) == [b"a", None, b"bcd", b""]
+    with pytest.raises(Exception, match="number of columns"):
+        one(spark, decode.cells(row, 3)[0].alias("v"))
     bad = F.struct(F.array(F.lit(9).cast("bigint")).alias("lengths"), F.lit(b"abcd").alias("values"))
+    with pytest.raises(Exception, match="lengths of a row"):
+        one(spark, decode.cells(bad, 1)[0].alias("v"))
     with pytest.raises(Exception, match="lengths of a row"):
         one(spark, decode.unpack(bad).alias("v"))
 
@@ -159,3 +164,18 @@ def test_vgtid(spark):
 def test_ddl(spark, statement, kind, table):
     r = one(spark, ddl.change_type(F.lit(statement)).alias("k"), ddl.quoted_id(F.lit("0"), F.lit("ks"), ddl.table_of(F.lit(statement))).alias("t"))
     assert (r.k, r.t) == (kind, f'"0"."ks"."{table}"')
+
+
+def test_cursor(spark):
+    import base64
+
+    cursor = [{"keyspace": "ks", "shard": "0", "gtid": "g", "table_p_ks": [{"table_name": "t", "lastpk": {"fields": [{"name": "id", "type": "INT64", "charset": 63, "flags": 1}], "rows": [{"lengths": ["2", "-1", "1"], "values": base64.b64encode(b"15x").decode()}]}}]}]
+    import json
+
+    v = position.parse_vgtid(F.lit(json.dumps(cursor, separators=(",", ":"))))
+    r = one(spark, position.cursor_cells(v, F.lit("0"), F.lit("t")).alias("c"), position.cursor_cells(v, F.lit("0"), F.lit("u")).alias("n"), position.vgtid_json(v).alias("same"))
+    assert r.c == ["15", None, "x"] and r.n is None and json.loads(r.same) == cursor
+
+
+def test_start_epochs():
+    assert position.start_epochs({"0": 2}, 1, 2) == {"0": 3} and position.start_epochs({"0": 2}, 2, 2) == {"0": 2} and position.start_epochs({"0": 2}, None, 2) == {"0": 2}
