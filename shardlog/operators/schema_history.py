@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.types import UNIQUE
-from .transactions import FIELD, place, table_name
+from .transactions import BLOCK, FIELD, place, table_name
 
 _TABLE = ["stream", "shard", "keyspace", "table"]
 
@@ -16,9 +16,13 @@ def versions(events: DataFrame, exclude_keyspace: bool = False) -> DataFrame:
     keyspace, table = table_name(exclude_keyspace)
     named = F.when(F.exists("fields", lambda f: (F.coalesce(f["name"], F.lit("")) == "") | f["name"].startswith("@")), F.raise_error(F.lit("illegal column name")).cast("string"))
     v = events.where(F.col("type") == FIELD).select("stream", "shard", keyspace.alias("keyspace"), table.alias("table"), place().alias("from_seq"), F.when(named.isNull(), F.col("fields")).alias("fields"))
-    order = Window.partitionBy(*_TABLE).orderBy("from_seq")
-    # A schema that is sent again changes nothing, so a history is as long as the table's real changes.
-    v = v.where("fields is not null").withColumn("_before", F.lag("fields").over(order)).where(~F.col("fields").eqNullSafe(F.col("_before"))).drop("_before")
+    # A schema that is sent again changes nothing, so a history is as long as the table's real changes. Repeats go within blocks of
+    # responses first, so a table whose schema is sent with every transaction is no single task.
+    v = v.where("fields is not null").withColumn("_block", F.floor(F.col("from_seq") / F.lit(2**24 * BLOCK)))
+    for keys in ([*_TABLE, "_block"], _TABLE):
+        order = Window.partitionBy(*keys).orderBy("from_seq")
+        v = v.withColumn("_before", F.lag("fields").over(order)).where(~F.col("fields").eqNullSafe(F.col("_before"))).drop("_before")
+    v = v.drop("_block")
     return v.withColumn("to_seq", F.lead("from_seq").over(order))
 
 

@@ -11,7 +11,7 @@ from ..functions import ddl, decode, position
 from ..functions.types import ColumnType
 from ..operators import envelope, filters, ordering, routing, schema_history, transactions, transforms
 from ..sources import metadata, snapshot, synth
-from ..sources.scratch import folder
+from ..sources.scratch import cut, folder
 from . import planner
 from .config import Config
 
@@ -40,13 +40,18 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 _LOG = """WITH t AS (SELECT *, row_number() OVER (ORDER BY gone, o_orderkey) AS txn_no FROM (SELECT *, 0 AS gone FROM orders UNION ALL SELECT *, 1 AS gone FROM orders WHERE o_orderkey % 10 = 0))"""
 
 
+def _log(spark: SparkSession, sf: str) -> DataFrame:
+    """The order log as a stored table, as logs come."""
+    return cut(synth.order_log(_t(spark, sf, "orders")), "log")
+
+
 def _units(spark: SparkSession, sf: str) -> DataFrame:
-    return transactions.assemble(synth.order_log(_t(spark, sf, "orders")))
+    return transactions.assemble(_log(spark, sf))
 
 
 def _typed(spark: SparkSession, sf: str) -> DataFrame:
     """Row changes of the order log with typed images."""
-    events = synth.order_log(_t(spark, sf, "orders"))
+    events = _log(spark, sf)
     changes = transactions.row_changes(transactions.assemble(events))
     met = schema_history.with_schema(changes, schema_history.versions(events))
     fields = [{"name": n, "type": t, "column_type": c, "flags": f, "column_length": 0} for n, t, c, f in synth.FIELDS]
@@ -71,7 +76,7 @@ def txn_assemble(spark: SparkSession, sf: str) -> DataFrame:
 @query(_LOG + """ SELECT txn_no, CASE WHEN gone = 0 THEN 5 ELSE 4 END AS n_events FROM t""")
 def txn_assemble_strict(spark: SparkSession, sf: str) -> DataFrame:
     """The same transactions by the protocol's state machine."""
-    u = transactions.assemble_strict(synth.order_log(_t(spark, sf, "orders")))
+    u = transactions.assemble_strict(_log(spark, sf))
     return u.groupBy("txn_no").agg(F.count(F.lit(1)).cast("int").alias("n_events"))
 
 
@@ -472,7 +477,7 @@ def json_records(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT o_orderkey, count(*) AS n, 1 AS columns FROM (SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0) GROUP BY 1")
 def record_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Keys by each row's own schema (the primary key's columns)."""
-    events = synth.order_log(_t(spark, sf, "orders"))
+    events = _log(spark, sf)
     raw = envelope.raw_images(schema_history.with_schema(transactions.row_changes(transactions.assemble(events)), schema_history.versions(events)))
     key = raw.select(F.element_at("key", F.lit("o_orderkey")).cast("string").cast("bigint").alias("o_orderkey"), F.size("key").alias("columns"))
     return key.groupBy("o_orderkey", "columns").agg(F.count(F.lit(1)).alias("n"))
@@ -535,7 +540,7 @@ def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     from . import pipeline
 
     config = Config(server="srv", keyspace=synth.KEYSPACE, topic_prefix="pre", ordered_transactions=True)
-    d = pipeline.build(synth.order_log(_t(spark, sf, "orders")), config).data
+    d = pipeline.build(_log(spark, sf), config).data
     key = F.get("key", F.lit(0))["value"].cast("bigint")
     return d.select("topic", "record.op", key.alias("o_orderkey"), "tombstone", F.col("record.transaction.total_order").isNotNull().alias("ordered"), F.col("record.transaction.transaction_epoch").alias("epoch"))
 
