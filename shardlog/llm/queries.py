@@ -115,4 +115,13 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score D
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_decontamination": _OP2, "op3_topk": _OP3, "op7_near_dedup": _OP7}
+#: op4: base32 by five bits of the hex digest at a time.
+_OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first, sha1(h) AS x FROM p GROUP BY h),
+g AS (SELECT h, first, array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((16 * (strpos('0123456789abcdef', substr(x, 1 + (5 * i) // 4, 1)) - 1) + strpos('0123456789abcdef', substr(x, 2 + (5 * i) // 4, 1)) - 1) >> (3 - (5 * i) % 4)) & 31)::INTEGER, 1)), '') AS b FROM f)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, b AS payload_digest, CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM p JOIN g USING (h)
+"""
+
+ORACLE: dict[str, str] = {"op1_substring_dedup": _OP1, "op2_decontamination": _OP2, "op3_topk": _OP3, "op4_warc": _OP4, "op7_near_dedup": _OP7}
