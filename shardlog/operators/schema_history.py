@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.types import UNIQUE
+from ..sources.scratch import cut
 from .transactions import BLOCK, FIELD, place, table_name
 
 _TABLE = ["stream", "shard", "keyspace", "table"]
@@ -32,7 +33,7 @@ def with_schema(changes: DataFrame, history: DataFrame, most: int = 200_000) ->
     The history is small next to the rows and broadcast up to ``most`` versions, so rows are not shuffled; beyond that it is joined
     by shuffle, where a hot table is split by Spark.
     """
-    v = history.select(*(F.col(k).alias(f"_{k}") for k in _TABLE), "from_seq", "to_seq", "fields")
+    v = cut(history.select(*(F.col(k).alias(f"_{k}") for k in _TABLE), "from_seq", "to_seq", "fields"), "schemas")
     if v.count() <= most:
         v = F.broadcast(v)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _TABLE]
