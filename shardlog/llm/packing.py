@@ -3,7 +3,7 @@
 Documents are tokenized, ended with one id and cut into pieces only where longer than the capacity. The histogram of piece lengths
 (at most ``capacity`` numbers, whatever the input) goes to the driver. There a covering linear program over bin configurations is
 solved by multiplicative weights: each length has a weight that falls exponentially as it is covered, and the next configuration is
-the best knapsack filling for the present weights (dynamic programming over the capacity, followed by dropping what is used up).
+the best knapsack filling for the present weights (dynamic programming over the capacity, of each length no more than are left).
 Multiplicities are rounded down; what is left goes to bins best-fit, longest first.
 The plan has a bounded number of rows (distinct configurations times their slots); pieces look up their place in it by length and
 rank within the length. Ranks come from counts per (salt, length) and a running sum, so no length is gathered in one task.
@@ -145,25 +145,44 @@ class Plan:
         return self.seq[at] + rank - self.rank[at], self.offset[at]
 
 
-def _best_filling(weight: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack: the multiset of lengths (as indices) of greatest total weight within the capacity."""
+def _best_filling(weight: np.ndarray, lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
+    """Bounded knapsack: the multiset of lengths (as indices), of each no more than are left, of greatest total weight within the capacity.
+
+    Lengths of which a bin could hold no more than are left are filled in without a bound; then the others, in lots of 1, 2, 4, ...
+    and the rest, each lot taken once or not.
+    """
     value, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    lo = int(lengths[0])
-    fits = np.searchsorted(lengths, np.arange(capacity + 1), "right")
-    for c in range(lo, capacity + 1):
-        k = fits[c]
-        got = value[c - lengths[:k]] + weight[:k]
-        i = int(got.argmax())
-        if got[i] > value[c - 1]:
-            value[c], take[c] = got[i], i
-        else:
-            value[c] = value[c - 1]
+    free = np.flatnonzero(left >= capacity // lengths)
+    if len(free):
+        size, gain = lengths[free], weight[free]
+        fits = np.searchsorted(size, np.arange(capacity + 1), "right")
+        for c in range(int(size[0]), capacity + 1):
+            k = fits[c]
+            got = value[c - size[:k]] + gain[:k]
+            i = int(got.argmax())
+            if got[i] > value[c - 1]:
+                value[c], take[c] = got[i], free[i]
+            else:
+                value[c] = value[c - 1]
+    lots: list[tuple[int, int, np.ndarray]] = []
+    for k in np.flatnonzero(left < capacity // lengths).tolist():
+        more, lot = int(left[k]), 1
+        while more:
+            lot = min(lot, more)
+            room, got = lot * int(lengths[k]), value.copy()
+            got[room:] = np.maximum(value[room:], value[: capacity + 1 - room] + lot * weight[k])
+            lots.append((k, lot, got > value))
+            value, more, lot = got, more - lot, 2 * lot
     out, c = [], capacity
-    while c >= lo:
+    for k, lot, better in reversed(lots):
+        if better[c]:
+            out += [k] * lot
+            c -= lot * int(lengths[k])
+    while c > 0:
         if take[c] < 0:
             c -= 1
         else:
-            out.append(take[c])
+            out.append(int(take[c]))
             c -= int(lengths[take[c]])
     return np.array(out, np.int64)
 
@@ -185,18 +204,8 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 160
             break
         covered = 1 - left[live] / total[live]
         dual = lengths[live] * np.exp(-eta * (covered - covered.mean()) - 0.02 * (t % 7) * (lengths[live] % 3 == t % 3))
-        pick = live[_best_filling(dual, lengths[live], capacity)]
+        pick = live[_best_filling(dual, lengths[live], left[live], capacity)]
         kinds, times = np.unique(pick, return_counts=True)
-        if (times > left[kinds]).any():  # the relaxation takes more of a rare length than there is: give back, and refill
-            had = dict(zip(kinds.tolist(), np.minimum(times, left[kinds]).tolist(), strict=True))
-            room = capacity - sum(int(lengths[k]) * n for k, n in had.items())
-            for k in live[::-1].tolist():
-                if n := min(int(left[k]) - had.get(k, 0), room // int(lengths[k])):
-                    had[k] = had.get(k, 0) + n
-                    room -= n * int(lengths[k])
-            if room > capacity // 500:
-                break  # too little is left for full configurations; rounding ends here
-            kinds, times = np.array(list(had), np.int64), np.array(list(had.values()), np.int64)
         fits = int((left[kinds] // times).min())
         use = max(1, min(fits, int(np.ceil(left.sum() / times.sum() / 12))))
         left[kinds] -= times * use

@@ -368,6 +368,13 @@ def test_packing_plans():
         assert held == Counter(hist)
 
 
+def test_packing_with_a_rare_length():
+    n = 50
+    hist = {2058: 6 * n, 1044: 6 * n, 1034: 6 * n, 1004: 12 * n, 5: 1}
+    assert sum(k for _, k in packing.solve(hist)) <= 1.05 * (9 * n + 1)
+    assert sum(k for _, k in packing.solve({10: 1, 7: 1, 3: 5, 2: 2}, 10)) == 4
+
+
 def test_tokenizer_pieces():
     from tokenizers import Tokenizer
 
