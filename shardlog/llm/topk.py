@@ -9,8 +9,9 @@ Queries are taken in blocks of ``block`` (default 8,192), each broadcast (its si
 all candidates; a task sends at most k rows per query. No pair is shuffled.
 
 Components are floor(scale * x), x as double. Vectors that are null, empty or hold a null or non-finite component take no part, and
-neither do rows with a null id. Rows that share an id are one vector's copies: a query never gets a row with its own id, other ids
-may appear once per distinct score. Vectors of different lengths are only compared with their like. Scores are exact up to 2**53.
+neither do rows with a null id. Repeated rows count each, as in the query's SQL: a query never gets a row with its own id, another id
+appears once per row of it, and once more for each further row of the query's id (each with its own vector). So the result does not
+depend on how rows are spread over tasks. Vectors of different lengths are only compared with their like. Scores are exact up to 2**53.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ def _norms(x: np.ndarray) -> np.ndarray:
 class Search:
     """Running top-k of a block of queries over any number of candidate batches."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.q, self.k = ids, q, k
+    def __init__(self, ids: np.ndarray, q: np.ndarray, copies: np.ndarray, k: int):
+        self.ids, self.q, self.copies, self.k = ids, q, copies, k
         self.rest = _norms(q)
         self.best = np.full((len(ids), k), -np.inf)
         self.who = np.full((len(ids), k), np.iinfo(np.int64).max)
@@ -77,23 +78,23 @@ class Search:
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b = np.nonzero(np.isfinite(self.best))
-        return self.ids[a], self.who[a, b], self.best[a, b].astype(np.int64)
+        return self.ids[a], self.who[a, b], self.best[a, b].astype(np.int64), self.copies[a]
 
 
 def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: float = 256.0, block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of every row that is_query (a Column on "id") picks."""
     spark = vectors.sparkSession
     usable = quantised(vectors, id_col, vec_col, scale)
-    queries = usable.where(is_query).dropDuplicates(["id"]).withColumn("dim", F.size("v"))
+    queries = usable.where(is_query).groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v"))
     parts = None
     sizes = queries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per vector length
     for dim, n in sorted((r["dim"], r["n"]) for r in sizes):
         blocks = -(-n // block)
         for i in range(blocks):
-            mine = queries.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("id"), F.lit(blocks)) == i)).select("id", "v").collect()  # about block rows
+            mine = queries.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == i)).select("id", "v", "copies").collect()  # about block rows
             if not mine:
                 continue
-            sent = spark.sparkContext.broadcast((np.array([r["id"] for r in mine], np.int64), np.array([r["v"] for r in mine], np.float64)))
+            sent = spark.sparkContext.broadcast((np.array([r["id"] for r in mine], np.int64), np.array([r["v"] for r in mine], np.float64), np.array([r["copies"] for r in mine], np.int64)))
 
             def run(batches, sent=sent, dim=dim):
                 found, held_ids, held, n = Search(*sent.value, k), [], [], 0
@@ -113,12 +114,13 @@ def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str =
                             flush()
                             n = 0
                 flush()
-                a, b, s = found.rows()
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s)], ["query_id", "vec_id", "score"])
+                a, b, s, c = found.rows()
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s), pa.array(np.minimum(c, k))], ["query_id", "vec_id", "score", "copies"])
 
-            got = usable.where(F.size("v") == dim).mapInArrow(run, "query_id long, vec_id long, score long")
+            got = usable.where(F.size("v") == dim).mapInArrow(run, "query_id long, vec_id long, score long, copies long")
             parts = got if parts is None else parts.unionByName(got)
     if parts is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows per task and query
-    return parts.distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows per task and row of the query
+    each = parts.select("query_id", "vec_id", "score", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))  # k times at most
+    return each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -137,6 +137,21 @@ def test_topk(spark):
     assert topk.search(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_topk_with_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(0, 0.3, (60, 20)), 3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(7, (4 * x[0]).tolist())] * 5 + [(8, (3 * x[0]).tolist())] * 2 + [(7, (2 * x[0]).tolist())] + [(50, x[50].tolist())] * 2 + [(50, x[3].tolist())]
+    v = [(i, np.floor(256 * np.array(e, np.float32).astype(float)).astype(int)) for i, e in rows]
+    expected = []
+    for q in (0, 50):
+        best = sorted((-int(a @ b), i) for k, a in v if k == q for i, b in v if i != q)[:5]
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for parts in (1, 7):
+        same(topk.search(df.repartition(parts), F.col("id") % 50 == 0), expected)
+
+
 PAGES = [(1, "http://a.org/x", "<p>one</p>"), (2, "http://a.org/y", "<p>one</p>"), (3, None, None), (4, "u", ""), (None, "n\r\nX: y", "<p>one</p>"), (5, "é", "é" * 1000), (5, "é", "é" * 1000), (6, "z", "two\r\n\r\nthree"), (None, "p", "alone"), (None, "q", "alone")]
 
 
