@@ -227,6 +227,24 @@ def test_lm_score(spark, docs):
     assert lm_score.score(docs, F.lit(True)).where("abs(bits_per_byte - 8) > 1e-6").count() == 0
 
 
+@pytest.mark.parametrize("frequent", [0, 2000, 1 << 20])
+def test_lm_score_keeps_rare_contexts(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent, raising=False)
+    monkeypatch.setattr(lm_score, "GRAMS", 3000, raising=False)
+    rng = random.Random(8)
+    rows = [(i, " ".join(words(rng, 16000, 3000))) for i in range(40)] + [(100 + i, "a rare zebra quartz " * (i % 3)) for i in range(6)] + [(200, "é unseen Ψ"), (201, None)]
+    held = lambda i: i % 5 == 1
+    train = [lm_score.text_bytes(t) for i, t in rows if not held(i)]
+    assert sum(map(len, train)) > 2**21
+    k, n = np.unique(lm_score.grams(train)[0], return_counts=True)
+    parts = [lm_score._merge([x for x, _ in got], [(np.where(b == 0, n, 0), np.where(b == 1, n, 0)) for _, b in got]) for got in (lm_score._nodes(k, d) for d in range(lm_score.DEPTH + 1))]
+    tree = lm_score.Tree.build(*map(np.concatenate, zip(*parts, strict=True)))
+    got = {r.doc_id: r.score for r in lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 5 == 1).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert got[i] == pytest.approx(tree.log10(lm_score.grams([lm_score.text_bytes(t)])[0]).sum(), rel=1e-9)
+
+
 def test_context_tree_is_the_plain_recursion():
     rng = random.Random(2)
     texts = [bytes(rng.choice(b"ab c") for _ in range(rng.randrange(0, 60))) for _ in range(12)]
