@@ -1,10 +1,12 @@
 """Best-fit packing of token sequences by a configuration linear program.
 
 Documents are tokenized, ended with one id and cut into pieces only where longer than the capacity. The histogram of piece lengths
-(at most ``capacity`` numbers, whatever the input) goes to the driver. There a covering linear program over bin configurations is
-solved by multiplicative weights: each length has a weight that falls exponentially as it is covered, and the next configuration is
-the best knapsack filling for the present weights (dynamic programming over the capacity, of each length no more than are left).
-Multiplicities are rounded down; what is left goes to bins best-fit, longest first.
+(at most ``capacity`` numbers, whatever the input) goes to the driver. There the configuration linear program (how much of each way to
+fill a bin, so that all pieces are covered, with the fewest bins) is solved by multiplicative weights: each length's weight is
+multiplied down as it is covered, and the next configuration is the best knapsack filling for the present weights (dynamic programming
+over the capacity). The solution is moved to a vertex over the configurations found, so few amounts are fractional, and rounded down;
+what that leaves is solved again. Where there are many lengths, the program's rows are classes of the long ones (sized by their
+longest) and the short pieces are kept for the end. The rest goes best-fit into the bins' room, and to bins of its own.
 The plan has a bounded number of rows (distinct configurations times their slots); pieces look up their place in it by length and
 rank within the length. Ranks come from counts per (salt, length) and a running sum, so no length is gathered in one task.
 
@@ -145,36 +147,51 @@ class Plan:
         return self.seq[at] + rank - self.rank[at], self.offset[at]
 
 
+def _lots(lengths: np.ndarray, most: np.ndarray) -> list[tuple[int, int]]:
+    """Each length as lots of 1, 2, 4, ... and the rest, so that taking lots or not gives any number up to ``most``."""
+    out = []
+    for k, more in enumerate(most.tolist()):
+        lot = 1
+        while more > 0:
+            lot = min(lot, more)
+            out.append((k, lot))
+            more, lot = more - lot, 2 * lot
+    return out
+
+
 def _best_filling(weight: np.ndarray, lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
     """Bounded knapsack: the multiset of lengths (as indices), of each no more than are left, of greatest total weight within the capacity.
 
-    Lengths of which a bin could hold no more than are left are filled in without a bound; then the others, in lots of 1, 2, 4, ...
-    and the rest, each lot taken once or not.
+    Lengths of which a bin could hold no more than are left are filled in without a bound where lots would be many; the others in lots
+    of 1, 2, 4, ... and the rest, each lot taken once or not.
     """
     value, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    free = np.flatnonzero(left >= capacity // lengths)
-    if len(free):
-        size, gain = lengths[free], weight[free]
+    room = capacity // lengths
+    free = left >= room
+    if np.log2(room[free] + 1).sum() < 1500:
+        free[:] = False
+    at = np.flatnonzero(free)
+    if len(at):
+        size, gain = lengths[at], weight[at]
         fits = np.searchsorted(size, np.arange(capacity + 1), "right")
         for c in range(int(size[0]), capacity + 1):
             k = fits[c]
             got = value[c - size[:k]] + gain[:k]
             i = int(got.argmax())
             if got[i] > value[c - 1]:
-                value[c], take[c] = got[i], free[i]
+                value[c], take[c] = got[i], at[i]
             else:
                 value[c] = value[c - 1]
-    lots: list[tuple[int, int, np.ndarray]] = []
-    for k in np.flatnonzero(left < capacity // lengths).tolist():
-        more, lot = int(left[k]), 1
-        while more:
-            lot = min(lot, more)
-            room, got = lot * int(lengths[k]), value.copy()
-            got[room:] = np.maximum(value[room:], value[: capacity + 1 - room] + lot * weight[k])
-            lots.append((k, lot, got > value))
-            value, more, lot = got, more - lot, 2 * lot
+    rest = np.flatnonzero(~free)
+    chosen: list[tuple[int, int, np.ndarray]] = []
+    for j, lot in _lots(lengths[rest], np.minimum(left, room)[rest]):
+        k = int(rest[j])
+        size, got = lot * int(lengths[k]), value.copy()
+        np.maximum(value[size:], value[: capacity + 1 - size] + lot * weight[k], out=got[size:])
+        chosen.append((k, lot, got > value))
+        value = got
     out, c = [], capacity
-    for k, lot, better in reversed(lots):
+    for k, lot, better in reversed(chosen):
         if better[c]:
             out += [k] * lot
             c -= lot * int(lengths[k])
@@ -187,53 +204,180 @@ def _best_filling(weight: np.ndarray, lengths: np.ndarray, left: np.ndarray, cap
     return np.array(out, np.int64)
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = 160, eta: float = 0.5) -> list[tuple[np.ndarray, int]]:
-    """Configurations (lengths in them, how often): together they hold the histogram exactly."""
+def fractional(lengths: np.ndarray, count: np.ndarray, capacity: int, rounds: int, eta: float = 0.5) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, float]:
+    """The covering program min sum(x), sum of x * configuration >= count, by multiplicative weights.
+
+    Returns configurations (indices, times), their amounts x, and the greatest dual bound met: for any weights, their sum over all
+    pieces divided by the best filling's weight is a lower bound on the number of bins. A length's weight starts in proportion to the
+    length and is multiplied, each time that a configuration covers a share of its pieces, by exp(-eta * share).
+    """
+    log_w, covered, bound = np.log(lengths / capacity), np.zeros(len(lengths)), 0.0
+    step = 4 * max(1.0, float((lengths * count).sum()) / capacity) / rounds  # all pieces are covered about four times
+    found: dict[tuple, list] = {}
+    for _ in range(rounds):
+        w = np.exp(log_w)
+        kinds, times = np.unique(_best_filling(w, lengths, count, capacity), return_counts=True)
+        bound = max(bound, float((w * count).sum() / (w[kinds] * times).sum()))
+        use = min(step, float((count[kinds] / times).min()))
+        share = use * times / count[kinds]
+        covered[kinds] += share
+        log_w[kinds] -= eta * share
+        found.setdefault((*kinds, *times), [kinds, times, 0.0])[2] += use
+    some = covered > 0
+    return [(k, t) for k, t, _ in found.values()], np.array([x for *_, x in found.values()]) / (float(np.median(covered[some])) or 1.0), bound
+
+
+def vertex(configs: list[tuple[np.ndarray, np.ndarray]], count: np.ndarray, lengths: np.ndarray, capacity: int, most: int = 4000) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Crossover: the best vertex of the program restricted to these configurations (and one of each length alone), by primal simplex.
+    At most as many configurations as lengths are left."""
+    m = len(lengths)
+    alone = np.minimum(capacity // lengths, count)
+    pool = [(np.array([i]), np.array([int(a)])) for i, a in enumerate(alone)] + configs
+    a = np.zeros((m, len(pool)))
+    for j, (k, t) in enumerate(pool):
+        a[k, j] = t
+    need = count + 1e-7 * np.arange(1, m + 1)  # no ties in the ratio test
+    base, inverse = list(range(m)), np.diag(1.0 / alone)
+    for _ in range(most):
+        cost = np.array([0.0 if j >= len(pool) else 1.0 for j in base])
+        dual, x = cost @ inverse, inverse @ need
+        gain = np.concatenate([dual @ a - 1.0, -dual])
+        j = int(gain.argmax())
+        if gain[j] < 1e-9:
+            break
+        column = inverse @ a[:, j] if j < len(pool) else -inverse[:, j - len(pool)]
+        can = np.flatnonzero(column > 1e-9)
+        if not len(can):
+            break
+        r = int(can[(x[can] / column[can]).argmin()])
+        pivot = inverse[r] / column[r]
+        inverse -= np.outer(column, pivot)
+        inverse[r] = pivot
+        base[r] = j
+    x = inverse @ count
+    return [(*pool[j], float(v)) for j, v in zip(base, x, strict=True) if j < len(pool) and v > 1e-9]
+
+
+def classes(lengths: np.ndarray, count: np.ndarray, capacity: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which lengths the program covers (the others are small pieces, for best-fit), and the class of each: every length by itself
+    up to ``rows`` lengths; else those over a quarter of the capacity, in classes of about equal volume."""
+    if len(lengths) <= rows:
+        return np.arange(len(lengths)), np.arange(len(lengths))
+    large = np.flatnonzero(lengths > capacity // 4)
+    volume = np.cumsum(lengths[large] * count[large])
+    return large, np.unique((volume - 1) * rows // volume[-1], return_inverse=True)[1] if len(large) else large
+
+
+class _Runs:
+    """The pieces of one class, longest first."""
+
+    def __init__(self, index: np.ndarray, count: np.ndarray):
+        self.runs = [[int(i), int(n)] for i, n in zip(index[::-1], count[::-1], strict=True)]
+
+    def alike(self, times: int) -> int:
+        """How many bins can have the same ``times`` pieces next; at least 1."""
+        return max(1, self.runs[0][1] // times)
+
+    def take(self, times: int, bins: int) -> list[tuple[int, int]]:
+        out, more = [], times * bins
+        while more:
+            run = self.runs[0]
+            n = min(more, run[1])
+            out.append((run[0], n // bins))
+            more, run[1] = more - n, run[1] - n
+            if not run[1]:
+                self.runs.pop(0)
+        return out
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, work: int = 60_000, rows: int = 128) -> list[tuple[np.ndarray, int]]:
+    """Configurations (lengths in them, how often): together they hold the histogram exactly.
+
+    The program over the classes is solved, moved to a vertex, its amounts are rounded down and filled with pieces; what they leave is
+    solved again, until rounding leaves nothing. The rest goes best-fit into what room the bins have, then to bins of its own.
+    work: rounds times classes of one solution (48 to 1,000 rounds). rows: classes at most.
+    """
     lengths = np.array(sorted(k for k, n in histogram.items() if n > 0), np.int64)
     left = np.array([histogram[int(k)] for k in lengths], np.int64)
-    total = left.copy()
     out: list[tuple[np.ndarray, int]] = []
-    full = lengths == capacity
-    if full.any():
-        out.append((np.array([capacity]), int(left[full][0])))
-        left[full] = 0
-    # Fractional part: weights are duals, exp(-eta * share covered); each configuration is used for a bounded share of what is left.
-    for t in range(rounds):
-        live = np.flatnonzero(left > 0)
-        if not len(live):
+    while (live := np.flatnonzero(left > 0)).size:
+        of, cls = classes(lengths[live], left[live], capacity, rows)
+        if not len(of):
             break
-        covered = 1 - left[live] / total[live]
-        dual = lengths[live] * np.exp(-eta * (covered - covered.mean()) - 0.02 * (t % 7) * (lengths[live] % 3 == t % 3))
-        pick = live[_best_filling(dual, lengths[live], left[live], capacity)]
-        kinds, times = np.unique(pick, return_counts=True)
-        fits = int((left[kinds] // times).min())
-        use = max(1, min(fits, int(np.ceil(left.sum() / times.sum() / 12))))
-        left[kinds] -= times * use
-        out.append((np.repeat(lengths[kinds], times), use))
-    out += _best_fit(lengths, left, capacity)
-    return out
+        of = live[of]
+        heads = np.r_[np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]]), len(of)]
+        size, count = lengths[of[heads[1:] - 1]], np.add.reduceat(left[of], heads[:-1])
+        # Room that is a sixteenth of a bin or more can be filled to the last token; it is left where small pieces are enough for that.
+        volume, reserve = int((lengths[of] * left[of]).sum()), capacity // 16
+        if (int((lengths * left).sum()) - volume) * (capacity - 2 * reserve) < 2 * reserve * volume:
+            reserve = 0
+        size = np.minimum(size, capacity - reserve)
+        runs = [_Runs(of[a:b], left[of[a:b]]) for a, b in zip(heads, heads[1:], strict=False)]
+        configs, _, _ = fractional(size, count, capacity - reserve, int(np.clip(work // len(size), 48, 1000)))
+        rest, made = count.copy(), 0
+        for k, t, v in sorted(vertex(configs, count, size, capacity - reserve), key=lambda c: -c[2]):
+            use = min(int(v + 1e-6), int((rest[k] // t).min()))
+            rest[k] -= t * use
+            made += use
+            while use > 0:
+                bins = min(use, *(runs[c].alike(n) for c, n in zip(k.tolist(), t.tolist(), strict=True)))
+                took = [x for c, n in zip(k.tolist(), t.tolist(), strict=True) for x in runs[c].take(n, bins)]
+                for i, n in took:
+                    left[i] -= n * bins
+                out.append((np.repeat(lengths[[i for i, _ in took]], [n for _, n in took]), bins))
+                use -= bins
+        if not made:
+            break
+    return _best_fit(lengths, left, capacity, out)
 
 
-def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """What rounding leaves: the longest piece opens a bin, then always the longest that still fits; equal bins are made at once."""
+def _sums(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """Which numbers up to the capacity are sums of these lengths, each as often as wanted."""
+    mask, bits = (1 << capacity + 1) - 1, 1
+    for n in lengths.tolist():
+        while n <= capacity:
+            bits |= bits << n & mask
+            n *= 2
+    return np.unpackbits(np.frombuffer(bits.to_bytes(capacity // 8 + 1, "little"), np.uint8), bitorder="little")[: capacity + 1].astype(bool)
+
+
+def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int, begun: list[tuple[np.ndarray, int]]) -> list[tuple[np.ndarray, int]]:
+    """The begun bins, fullest first, with what fits best into their room, then bins for the rest, each begun with the longest piece.
+
+    The piece that fits best is the longest whose remaining room is a sum of lengths that are left. Equal bins are filled at once; where
+    there are fewer pieces than bins, the other bins go on by themselves.
+    """
     left, out = left.copy(), []
-    while (live := np.flatnonzero(left > 0)).size:
-        room, used = capacity, {}
+    todo = sorted(begun, key=lambda c: int(c[0].sum()))
+    sums, kinds = _sums(lengths[left > 0], capacity), np.count_nonzero(left)
+
+    def best(live: np.ndarray, room: int) -> np.ndarray:
+        goal = room if sums[room] or kinds != np.count_nonzero(left) else int(np.flatnonzero(sums[: room + 1])[-1])
+        fit = live[: np.searchsorted(lengths[live], goal, "right")]
+        return fit[sums[goal - lengths[fit]]]
+
+    while todo or left.any():
+        config, use = todo.pop() if todo else (np.empty(0, np.int64), 0)
+        room, add = capacity - int(config.sum()), []
         while True:
-            fits = np.searchsorted(lengths[live], room, "right")
-            cand = [k for k in live[:fits][::-1][:1]]
-            if not cand:
+            live = np.flatnonzero(left[: np.searchsorted(lengths, room, "right")])
+            if not len(live):
                 break
-            k = cand[0]
-            n = min(int(left[k] - used.get(k, 0)), int(room // lengths[k]))
-            if n > 0:
-                used[k] = used.get(k, 0) + n
-                room -= n * int(lengths[k])
-            live = live[live != k] if left[k] == used.get(k, 0) else live[live < k]
-        kinds, times = np.array(list(used), np.int64), np.array(list(used.values()), np.int64)
-        use = int((left[kinds] // times).min())
-        left[kinds] -= times * use
-        out.append((np.repeat(lengths[kinds], times), use))
+            if use == 0:
+                k, use = int(live[-1]), -(-int(left[live[-1]]) // 8)
+            else:
+                good = best(live, room)
+                if not len(good) and (now := np.count_nonzero(left)) != kinds:
+                    sums, kinds = _sums(lengths[left > 0], capacity), now
+                    good = best(live, room)
+                k = int(good[-1] if len(good) else live[-1])
+            if left[k] < use:
+                todo.append((np.concatenate([config, *add]), use - int(left[k])))
+                use = int(left[k])
+            left[k] -= use
+            room -= int(lengths[k])
+            add.append(lengths[k : k + 1])
+        out.append((np.concatenate([config, *add]), use))
     return out
 
 

@@ -401,11 +401,70 @@ def test_packing_plans():
         assert held == Counter(hist)
 
 
-def test_packing_with_a_rare_length():
-    n = 50
-    hist = {2058: 6 * n, 1044: 6 * n, 1034: 6 * n, 1004: 12 * n, 5: 1}
-    assert sum(k for _, k in packing.solve(hist)) <= 1.05 * (9 * n + 1)
-    assert sum(k for _, k in packing.solve({10: 1, 7: 1, 3: 5, 2: 2}, 10)) == 4
+def fewest_bins(pieces, cap):
+    """By exhaustive search over what the first piece shares a bin with."""
+    from functools import lru_cache
+    from itertools import combinations
+
+    @lru_cache(None)
+    def best(left):
+        if not left:
+            return 0
+        if sum(left) <= cap:
+            return 1
+        first, rest, found = left[-1], left[:-1], len(left)
+        for n in range(len(rest) + 1):
+            for mates in {m for m in combinations(rest, n) if first + sum(m) <= cap}:
+                others = list(rest)
+                for m in mates:
+                    others.remove(m)
+                found = min(found, 1 + best(tuple(others)))
+        return found
+
+    return best(tuple(sorted(pieces)))
+
+
+def bins(hist, cap=4096):
+    return sum(k for _, k in packing.solve(hist, cap))
+
+
+def test_packing_with_few_lengths_takes_the_fewest_sequences():
+    assert bins({2100: 100, 2000: 100, 1000: 200, 96: 100}) == 175
+    assert bins({1366: 300, 1365: 300, 2731: 300}) == 450
+    assert bins({2058: 300, 1044: 300, 1034: 300, 1004: 600, 5: 1}) == 451
+    rng = random.Random(3)
+    over = 0
+    for _ in range(40):
+        cap = rng.choice([10, 23, 60])
+        hist = Counter(rng.randrange(2, cap + 1) for _ in range(rng.randrange(1, 9)))
+        want = fewest_bins(tuple(hist.elements()), cap)
+        assert want <= bins(hist, cap) <= want + 1
+        over += bins(hist, cap) - want
+    assert over <= 2
+
+
+def test_packing_program():
+    rng = random.Random(4)
+    for m in (5, 60):
+        lengths = np.array(sorted(rng.sample(range(500, 3000), m)))
+        count = np.array([rng.randrange(1, 500) for _ in lengths])
+        configs, x, bound = packing.fractional(lengths, count, 4096, 800)
+        made = packing.vertex(configs, count, lengths, 4096)
+        held = np.zeros(m)
+        for k, t, v in made:
+            assert (lengths[k] * t).sum() <= 4096
+            held[k] += t * v
+        total = sum(v for *_, v in made)
+        assert (held >= count - 1e-6).all() and len(made) <= m and bound - 1e-6 <= total <= 1.08 * bound + 1
+        n = bins(dict(zip(lengths.tolist(), count.tolist(), strict=True)))
+        assert bound <= n <= total + m / 2 + 1
+
+
+def test_packing_with_many_lengths():
+    rng = random.Random(5)
+    hist = Counter(min(4096, 1 + int(rng.lognormvariate(5.5, 1.5))) for _ in range(20_000))
+    volume = -(-sum(k * n for k, n in hist.items()) // 4096)
+    assert len(hist) > 1000 and bins(hist) <= 1.005 * volume + 1
 
 
 def test_tokenizer_pieces():
