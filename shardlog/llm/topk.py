@@ -5,8 +5,10 @@ dimensions by block of dimensions; after each, the Cauchy-Schwarz bound on the m
 dimensions times the candidate's) drops every pair that can't reach the query's k-th best score so far, and only the surviving pairs
 are carried on. The bound is never below the true score, so the result is exact.
 
-Queries are taken in blocks of ``block`` (default 8,192), each broadcast (its size is bounded by that) and held against one scan of
-all candidates; a task sends at most k rows per query. No pair is shuffled.
+Queries are taken in blocks of at most ``block`` bytes of components (default 32 MB, 65,536 queries of 64 dimensions), each broadcast
+and held against one scan of all candidates; a task sends at most k rows per query. A block's result is written before the next one
+is begun, so neither the plan nor the driver grows with the queries. Within a task, pairs are formed for so many queries at a time
+that they stay within ``PAIRS``. No pair is shuffled.
 
 Components are floor(scale * x), x as double. Vectors that are null, empty or hold a null or non-finite component take no part, and
 neither do rows with a null id. Repeated rows count each, as in the query's SQL: a query never gets a row with its own id, another id
@@ -21,8 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._common import Scratch
+
 STEP = 16
 BATCH = 4096
+#: Pairs of a query and a candidate that a task looks at together.
+PAIRS = 1 << 21
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
@@ -50,11 +56,17 @@ class Search:
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
         rest, columns = _norms(x), np.ascontiguousarray(x.T)
+        some = max(1, PAIRS // max(1, len(ids)))
+        for lo in range(0, len(self.ids), some):
+            self._add(ids, x, rest, columns, lo, lo + some)
+
+    def _add(self, ids: np.ndarray, x: np.ndarray, rest: np.ndarray, columns: np.ndarray, lo: int, hi: int) -> None:
         floor = self.best[:, -1]
-        partial = self.q[:, :STEP] @ columns[:STEP]
-        alive = (partial + self.rest[1][:, None] * rest[1] >= floor[:, None]) & (self.ids[:, None] != ids)
+        partial = self.q[lo:hi, :STEP] @ columns[:STEP]
+        alive = (partial + self.rest[1][lo:hi, None] * rest[1] >= floor[lo:hi, None]) & (self.ids[lo:hi, None] != ids)
         qi, ci = np.nonzero(alive)
         s = partial[qi, ci]
+        qi += lo
         for n, at in enumerate(range(STEP, x.shape[1], STEP), 1):
             for lo in range(0, len(qi), 1 << 18):  # bounded temporaries
                 a, b = qi[lo : lo + (1 << 18)], ci[lo : lo + (1 << 18)]
@@ -81,46 +93,45 @@ class Search:
         return self.ids[a], self.who[a, b], self.best[a, b].astype(np.int64), self.copies[a]
 
 
-def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: float = 256.0, block: int = 8192) -> DataFrame:
+def search(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: float = 256.0, block: int = 32 << 20) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows of every row that is_query (a Column on "id") picks."""
     spark = vectors.sparkSession
+    scratch = Scratch(spark, "topk")
     usable = quantised(vectors, id_col, vec_col, scale)
-    queries = usable.where(is_query).groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v"))
-    parts = None
+    queries = scratch.save(usable.where(is_query).groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v")), "queries")
+    out = "query_id long, vec_id long, score long, copies long"
     sizes = queries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per vector length
+    made = 0
     for dim, n in sorted((r["dim"], r["n"]) for r in sizes):
-        blocks = -(-n // block)
+        blocks = -(-n // max(1, block // (8 * dim)))
         for i in range(blocks):
-            mine = queries.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == i)).select("id", "v", "copies").collect()  # about block rows
-            if not mine:
+            mine = queries.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == i)).select("id", "copies", "v").toArrow().combine_chunks()  # about a block
+            if not mine.num_rows:
                 continue
-            sent = spark.sparkContext.broadcast((np.array([r["id"] for r in mine], np.int64), np.array([r["v"] for r in mine], np.float64), np.array([r["copies"] for r in mine], np.int64)))
+            ids, copies = (mine.column(c).to_numpy().astype(np.int64) for c in ("id", "copies"))
+            sent = spark.sparkContext.broadcast((ids, mine.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), dim), copies))
 
             def run(batches, sent=sent, dim=dim):
-                found, held_ids, held, n = Search(*sent.value, k), [], [], 0
-                def flush():
-                    if held:
-                        ids, x = np.concatenate(held_ids), np.concatenate(held)
-                        for lo in range(0, len(ids), BATCH):
-                            found.add(ids[lo : lo + BATCH], x[lo : lo + BATCH])
-                        held.clear()
-                        held_ids.clear()
+                found = Search(*sent.value, k)
                 for b in batches:
-                    if b.num_rows:
-                        held_ids.append(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64))
-                        held.append(b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, dim))
-                        n += b.num_rows
-                        if n >= BATCH:
-                            flush()
-                            n = 0
-                flush()
+                    for lo in range(0, b.num_rows, BATCH):
+                        part = b.slice(lo, BATCH)
+                        found.add(part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, dim))
                 a, b, s, c = found.rows()
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s), pa.array(np.minimum(c, k))], ["query_id", "vec_id", "score", "copies"])
-
-            got = usable.where(F.size("v") == dim).mapInArrow(run, "query_id long, vec_id long, score long, copies long")
-            parts = got if parts is None else parts.unionByName(got)
-    if parts is None:
+                for lo in range(0, len(a), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[lo : lo + (1 << 16)]) for x in (a, b, s, np.minimum(c, k))], ["query_id", "vec_id", "score", "copies"])
+
+            got = usable.where(F.size("v") == dim).mapInArrow(run, out)
+            each = got.select("query_id", "vec_id", "score", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))  # k times at most
+            w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows per task and row of the query
+            top = each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            top.write.parquet(scratch.path(f"top/part={made}"))
+            sent.unpersist()
+            made += 1
+    if not made:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k rows per task and row of the query
-    each = parts.select("query_id", "vec_id", "score", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))  # k times at most
-    return each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(*(scratch.path(f"top/part={i}") for i in range(made)))
+    if made == 1:
+        return found
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "rank")  # an id with several vectors may be in several blocks
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
