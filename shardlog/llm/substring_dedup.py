@@ -309,5 +309,7 @@ def digest(docs: DataFrame, n: int = 20) -> DataFrame:
 
 
 def strip(docs: DataFrame, n: int = 20) -> DataFrame:
-    """The rows and columns of docs, their texts without what occurs earlier."""
-    return _remove(docs, n, True)
+    """The rows and columns of docs, their texts without what occurs earlier. Other columns may have any names."""
+    ours = {"doc_id", "text", "n_chars"}
+    names = [c if c in ours else f"other_{i}" for i, c in enumerate(docs.columns)]
+    return _remove(docs.toDF(*names), n, True).toDF(*docs.columns)

@@ -86,7 +86,13 @@ class _Out(io.RawIOBase):
 
 
 def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri)
+    """The file system of a folder that Spark names: s3a and s3n are s3, gcs is gs; what pyarrow has no file system for is refused."""
+    scheme, colon, rest = uri.partition("://")
+    uri = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}.get(scheme, scheme) + colon + rest if colon else uri
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"packages can't be kept at {uri}: spark.checkpoint.dir must be a path, file:, hdfs:, viewfs:, s3:, s3a:, gs: or abfss:") from e
 
 
 class PackageWriter:
