@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,28 +31,42 @@ def crc_mod(id_col: str, mod: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one of our own where that is unset (local tests)."""
+    """The folder that driver and executors share, spark.checkpoint.dir; in local mode a temporary one may stand in where that is unset."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='shardlog-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
-def smallest_hashed(df: DataFrame, cols: list[str], k: int, n: int) -> DataFrame:
-    """The k of df's n rows with the smallest hashes of cols. Rows beyond twice the expected bound go before the sort, so tasks send
-    about 2 * k rows in all, however many tasks there are."""
-    h = F.pmod(F.xxhash64(*cols), F.lit(2**31))
-    if n > 4 * k:
-        df = df.where(h < F.lit(int(2**31 * (2 * k + 100) / n)))
+def smallest_hashed(df: DataFrame, cols: list[str], k: int, bins: int = 1 << 16) -> DataFrame:
+    """The k rows of df with the smallest hashes of cols; rows are distinct in them.
+
+    Rows are counted by the first bits of their hash (``bins`` numbers come to the driver, whatever the input); only those in the first
+    bins that hold k rows are sorted.
+    """
+    h = F.pmod(F.xxhash64(*cols), F.lit(2**40))
+    bin_ = F.floor(h / (2**40 // bins))
+    counts = df.groupBy(bin_.alias("_bin")).count().toArrow()
+    order = np.argsort(at := counts.column("_bin").to_numpy())
+    full = np.cumsum(counts.column("count").to_numpy()[order]) >= k
+    if full.any():
+        df = df.where(bin_ <= int(at[order][full.argmax()]))
     return df.orderBy(h, *cols).limit(k)
 
 
 class Scratch:
-    """Intermediate tables in the shared folder. They cut lineage: a lost executor costs only the stage that was running."""
+    """Intermediate tables in the shared folder. They cut lineage: a lost executor costs only the stage that was running. What is not
+    dropped before goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,16 +75,26 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces, so that only a piece's texts are Python objects at once."""
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows and about ``size`` bytes of text (one row at least), so that only a piece's texts
+    are Python objects at once."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        n = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+                n += np.nan_to_num(pc.binary_length(c).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+        ends, at = np.cumsum(n), 0
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, "right"))))
+            yield b.slice(at, to - at)
+            at = to
 
 
 def partitions(spark: SparkSession) -> int:

@@ -13,8 +13,8 @@
    refuted, are left out.
 4. Components of the verified links; every document takes its set's component.
 
-Full sets are only made for nodes with candidates. They are picked by a Bloom filter of fixed size (2 MB): false positives cost some
-space, nothing else. Nothing about single documents comes to the driver, and the texts are never shuffled.
+Full sets are only made for nodes with candidates. They are picked by a Bloom filter (16 bits an id, 16 MB at most): false positives
+cost some space, nothing else. Nothing about single documents comes to the driver, and the texts are never shuffled.
 
 Edge cases: texts that are null, empty or without words have an empty set and are linked with nothing; a text of fewer words than a
 shingle is one shingle; rows with a null id are kept and not linked (component null); rows that share an id are one document, linked
@@ -35,7 +35,7 @@ from ._graph import components
 
 BANDS, ROWS, BITS = 32, 4, 512
 PARITY_BITS = 2048
-BLOOM_BITS = 24
+BLOOM_BITS = (20, 27)
 _K = BANDS * ROWS
 _rng = np.random.default_rng(20240501)
 _A = (_rng.integers(0, 2**31, _K, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -200,19 +200,22 @@ def _bucket_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
-def _bloom(ids: DataFrame) -> np.ndarray:
-    """Bitmap of 2**BLOOM_BITS bits, whatever the number of ids."""
-    bits = ids.select(F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in (0, 1)))).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 5).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("m"))
-    out = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
-    got = words.toArrow()  # at most as many rows as the bitmap has words
+def _bloom(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """Two-hash Bloom filter of the ids: its bits' logarithm (by their number, within BLOOM_BITS) and its words."""
+    n = ids.count()
+    log = min(max(BLOOM_BITS[0], (16 * n).bit_length()), BLOOM_BITS[1])
+    bits = ids.select(F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << log)) for k in (0, 1)))).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 5).cast("int").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 31 as int)))").alias("m"))
+    out = np.zeros(1 << (log - 5), np.uint32)
+    got = words.toArrow()  # at most as many rows as the filter has words: 4 million
     out[got.column("w").to_numpy()] = got.column("m").to_numpy().astype(np.uint32)
-    return out
+    return log, out
 
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """id, set (sorted 64-bit hashes) of the rows of docs whose id the Bloom filter holds."""
-    sent = docs.sparkSession.sparkContext.broadcast(_bloom(ids))
+    log, words_ = _bloom(ids)
+    sent = docs.sparkSession.sparkContext.broadcast(words_)
 
     def run(batches):
         words, bloom = WordHashes(), sent.value
@@ -224,7 +227,7 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, n, words).tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["id", "set"])
 
     d = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text")
-    return d.select("id", "text", *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << BLOOM_BITS)).alias(f"b{k}") for k in (0, 1))).mapInArrow(run, "id long, set binary")
+    return d.select("id", "text", *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << log)).alias(f"b{k}") for k in (0, 1))).mapInArrow(run, "id long, set binary")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -272,6 +275,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, block: int =
     between = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left").select(up("a"), up("b"))
     top = components(between, scratch, "cc2").select(F.col("node").alias("l1"), F.col("label").alias("l2"))
     final = scratch.save(nodes.select(*key, "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("l1", F.coalesce("label", "rep")).join(top, "l1", "left").select(*key, F.coalesce("l2", "l1").alias("found")), "classes")
+    scratch.drop("nodes", "buckets", "members", "pairs-1", "sets", "verified-1", "verified-2")
     got = sig.select("doc_id", *key).join(final, key, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
     return got.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -289,4 +293,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, most: int = 1_000_0
     left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     if not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    # Rows that share an id are one document: the row of the least text hash stays, by an aggregate and not by chance.
+    least = left.where("doc_id is not null").groupBy(F.col("doc_id").alias("_one_id")).agg(F.min(F.xxhash64("text")).alias("_one_hash"))
+    named = left.join(least, (left["doc_id"] == least["_one_id"]) & (F.xxhash64(left["text"]) == least["_one_hash"]), "left_semi")
+    return named.dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))

@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, held_out_mod:
         return fit_arrays([], np.empty(0, np.int64), prior)
     picked = None
     for y in (0, 1):
-        part = smallest_hashed(known.where(F.col("y") == y), ["doc_id"], per_class, shares[y])
+        part = smallest_hashed(known.where(F.col("y") == y), ["doc_id"], per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = picked.collect()  # at most 2 * per_class pairs
     picked = spark.createDataFrame(rows, "doc_id long, y int")

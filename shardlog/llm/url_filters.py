@@ -2,9 +2,10 @@
 
 A rule (host, path) fits a url whose host is the rule's or one of its subdomains and whose path starts with the rule's; of those that
 fit, the longest (host plus path) wins, a block rule before an allow rule of the same length. Urls that a rule decides are the
-labelled urls; the trees learn from a bounded sample of them (the ``sample`` smallest hashed urls, default 20,000) and judge the
-rest. Features: lengths of url, host and path, path depth, shares of digits and letters, character entropy, host labels, hyphens,
-query parameters, fragment, scheme, and how often urls of the same top-level name or path ending were allowed in the sample.
+labelled urls; the trees learn from a bounded sample of the distinct ones (the ``sample`` smallest hashed, default 20,000, whatever
+their number of rows) and judge the rest. Features: lengths of url, host and path, path depth, shares of digits and letters, character
+entropy, host labels, hyphens, query parameters, fragment, scheme, and how often other urls of the sample with the same top-level name
+or path ending were allowed: each url's rates come from the folds of the sample that it is not in, so no label reaches its own features.
 
 Edge cases: a null url, or one without "://", has an empty host and path and fits no rule; with no labelled urls, or one class only,
 the trees are a constant (allow when there are none). Repeated rows are judged alike; other columns are neither read nor kept.
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import smallest_hashed
+from ._common import slices, smallest_hashed
 
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _AFTER = re.compile(r"[/?#]")
@@ -154,37 +155,52 @@ class UrlModel:
         return self.trees.margin(features(urls, self.tld, self.ending, self.base)) >= 0
 
 
-def fit_urls(urls: list[str], y: np.ndarray, smooth: float = 20.0) -> UrlModel:
-    base = float(y.mean()) if len(y) else 1.0
-    rates: list[dict] = []
+def _rates(urls: list[str], y: np.ndarray, base: float, smooth: float) -> tuple[dict, dict]:
+    """Smoothed share of allowed urls for each top-level name, and each path ending."""
+    out: list[dict] = []
     for k in (0, 1):
         n: dict = {}
         for u, label in zip(urls, y, strict=True):
             a = n.setdefault(_keys(*split_url(u)[:2])[k], [0, 0])
             a[0] += int(label)
             a[1] += 1
-        top = sorted(n.items(), key=lambda x: (-x[1][1], x[0]))[:5000]
-        rates.append({key: (a + smooth * base) / (b + smooth) for key, (a, b) in top})
-    return UrlModel(rates[0], rates[1], base, boost(features(urls, rates[0], rates[1], base), y.astype(np.float64)))
+        out.append({key: (a + smooth * base) / (b + smooth) for key, (a, b) in n.items()})
+    return out[0], out[1]
 
 
-def fit(pages: DataFrame, rules: Rules, sample: int = 20_000) -> UrlModel:
+def fit_urls(urls: list[str], y: np.ndarray, smooth: float = 20.0, folds: int = 5) -> UrlModel:
+    """urls: distinct; they are in the order of their hashes, so taking every ``folds``-th one is a random fold."""
+    base = float(y.mean()) if len(y) else 1.0
+    fold = np.arange(len(urls)) % folds
+    x = np.zeros((len(urls), len(FEATURES)), np.float32)
+    for f in range(folds):
+        mine, others = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        x[mine] = features([urls[i] for i in mine], *_rates([urls[i] for i in others], y[others], base, smooth), base)
+    return UrlModel(*_rates(urls, y, base, smooth), base, boost(x, y.astype(np.float64)))
+
+
+def labelled(pages: DataFrame, rules: Rules) -> DataFrame:
+    """url, allow: the distinct urls that a rule decides."""
+
     def label(batches):
-        for b in batches:
+        for b in slices(batches, 10_000):
             urls = b.column(0).to_pylist()
             got = [(u, v == "allow") for u in urls if (v := rules.find(*split_url(u)[:2])[1])]
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in got], pa.string()), pa.array([a for _, a in got], pa.bool_())], ["url", "allow"])
 
-    labelled = pages.select("url").where("url is not null").mapInArrow(label, "url string, allow boolean")
-    rows = smallest_hashed(labelled, ["url"], sample, labelled.count()).collect()
-    return fit_urls([r["url"] for r in rows], np.array([r["allow"] for r in rows], bool))
+    return pages.select("url").where("url is not null").mapInArrow(label, "url string, allow boolean").distinct()
+
+
+def fit(pages: DataFrame, rules: Rules, sample: int = 20_000) -> UrlModel:
+    rows = smallest_hashed(labelled(pages, rules), ["url"], sample).toArrow()  # at most ``sample`` rows
+    return fit_urls(rows.column("url").to_pylist(), np.array(rows.column("allow").to_pylist(), bool))
 
 
 def judge(pages: DataFrame, rules: Rules, model: UrlModel) -> DataFrame:
     """page_id, host, path, rule, verdict for every row."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 10_000):
             urls = b.column(1).to_pylist()
             parts = [split_url(u) for u in urls]
             found = [rules.find(h, p) for h, p, _ in parts]

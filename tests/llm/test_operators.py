@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardlog.llm import decontaminate, html_extract, lm_score, near_dedup, packing, substring_dedup, topk, toxicity, url_filters, warc
-from shardlog.llm._common import crc_mod
+from shardlog.llm._common import crc_mod, smallest_hashed
 from shardlog.llm.queries import URL_RULES, tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, words int"
@@ -81,6 +81,24 @@ def test_substring_dedup(spark, docs):
         assert g[3] == e[3] if e[2] else g[2] == len(g[3])  # untouched, or counted anew
 
 
+def test_substring_dedup_with_clashing_names(spark, docs):
+    whole = sorted(map(repr, substring_dedup.strip(docs).select("doc_id", "text").collect()))
+    more = docs.select("*", *(F.lit(1).alias(c) for c in ("_k", "_f", "_marks", "_more", "bucket", "other_0", "_one_id", "_gone")))
+    got = substring_dedup.strip(more)
+    assert got.columns == more.columns and sorted(map(repr, got.select("doc_id", "text").collect())) == whole
+    assert near_dedup.keep_one(more).columns == more.columns and near_dedup.keep_one(more).count() == near_dedup.keep_one(docs).count()
+
+
+def test_slices_by_bytes():
+    import pyarrow as pa
+
+    from shardlog.llm._common import slices
+
+    texts = ["x" * 10, None, "y" * 5000, "", "z" * 90, "z" * 20]
+    got = [b.column(0).to_pylist() for b in slices([pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])], 4, 100)]
+    assert sum(got, []) == texts and [len(g) for g in got] == [2, 1, 2, 1]
+
+
 def test_substring_dedup_over_segments(spark, docs, monkeypatch):
     whole = sorted(map(repr, substring_dedup.digest(docs).collect()))
     monkeypatch.setattr(substring_dedup, "SEGMENT", 5)
@@ -111,16 +129,18 @@ def test_decontamination(spark):
                     items.add(i)
         ids = sorted(str(i) for i in items if i is not None)
         expected.append((doc, len(w), len(hit), len(items), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
-    for most in (1_000_000, 0):  # broadcast, and joined by shuffle
+    for most in (1_000_000, 3):  # one block of windows, and several
         same(decontaminate.report(d, b, most=most), expected)
         kept = decontaminate.clean(d, b, most=most)
         assert kept.columns == d.columns
         same(kept.select("doc_id"), [(e[0],) for e in expected if not e[5]])
+    greek = spark.createDataFrame([(1, "\u039f\u0394\u039f\u03a3.\u0391\u0392 \u039f\u0394\u039f\u03a3")], "doc_id long, text string"), spark.createDataFrame([(1, "\u039f\u0394\u039f\u03a3")], "item_id long, text string")
+    assert decontaminate.report(*greek).collect()[0].n_hit == 2
     assert decontaminate.report(d.limit(0), b).count() == 0
     assert not decontaminate.report(d, b.limit(0)).where("contaminated").count()
 
 
-def test_topk(spark):
+def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = rng.normal(0, 0.3, (700, 40))
     x[100:140] = x[100]  # ties
@@ -133,7 +153,8 @@ def test_topk(spark):
             best = sorted([(-int(a @ b), i) for i, b in v if i != q and len(b) == len(a)])[:5]
             expected += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     same(topk.search(df, F.col("id") % 50 == 0), expected)
-    same(topk.search(df, F.col("id") % 50 == 0, block=3), expected)
+    monkeypatch.setattr(topk, "PAIRS", 500)
+    same(topk.search(df, F.col("id") % 50 == 0, block=3 * 8 * 40), expected)
     assert topk.search(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
@@ -339,6 +360,28 @@ def test_url_filters(spark):
     assert none.count() == 0
 
 
+def test_url_sample_takes_distinct_urls(spark):
+    rules = url_filters.Rules(URL_RULES)
+    rows = [(i, "http://a.org/same", "h") for i in range(20_000)] + [(i, f"http://{'x' if i % 2 else 'y'}{i}.{'org/p' if i % 2 else 'com/de/p9?q=1&r=2'}", "h") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = url_filters.fit(df, rules, sample=150)
+    assert 0.3 < model.base < 0.7 and len(model.trees.trees) > 0
+    assert sorted(r.url for r in smallest_hashed(url_filters.labelled(df, rules), ["url"], 150, bins=16).collect()) == sorted(r.url for r in url_filters.labelled(df, rules).orderBy(F.pmod(F.xxhash64("url"), F.lit(2**40)), "url").limit(150).collect())
+    assert smallest_hashed(url_filters.labelled(df.limit(0), rules), ["url"], 5).count() == 0
+
+
+def test_urls_are_learnt_and_not_from_their_own_labels():
+    rng = random.Random(2)
+    made = lambda: f"http://h{rng.randrange(10**6)}.{rng.choice(['a', 'b', 'c'])}/{'x' * rng.randrange(1, 30)}/{rng.randrange(10 ** rng.randrange(1, 9))}"
+    urls = list(dict.fromkeys(made() for _ in range(4000)))
+    y = np.array([len(u.split("/")[3]) > 12 or ".b/" in u for u in urls])
+    model = url_filters.fit_urls(urls[:3000], y[:3000])
+    assert (model.allow(urls[3000:]) == y[3000:]).mean() > 0.95
+    noise = np.array([rng.random() < 0.5 for _ in urls])
+    once = [f"http://h.tld{i}/" for i in range(3000)]  # every top-level name occurs once: its rate must tell nothing
+    assert abs((url_filters.fit_urls(once, noise[:3000]).allow(once) == noise[:3000]).mean() - 0.5) < 0.1
+
+
 def test_boosted_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 4)).astype(np.float32)
@@ -362,6 +405,66 @@ def test_html_extraction(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article class="post comments-open"><p>a<p>b</article><p>c', "a\nb"),
+        ('<div class="has-sidebar"><main><p>a</main></div>', "a"),
+        ('<div class="sidebar"><main><p>a</main></div><p>b', "a"),
+        ('<form action="/"><div id=main role=main>a</div></form>', "a"),
+        ('<main><svg class="i"/><p>a<iframe src=x/><p>b</main>', "a\nb"),
+        ("<main><iframe src=x><p>a</main>", "a"),
+        ('<article><p class="notice">a</p><div class="social-science">b</div><div class="x notice">c</div></article>', "a\nb"),
+        ("<article>a</article><div id=comments><article class=comment>b</article></div>", "a"),
+        ("<article>a<section class='comments'><article>b</article></section></article>", "a"),
+        ("<div class=widget><article>a</article></div><p>b", "a"),
+        ("<aside><article>a</article></aside><article>b</article>", "b"),
+        ("<article><script>x", ""),
+    ],
+)
+def test_html_markup(page, text):
+    found, sure = html_extract.blocks(page)
+    assert "\n".join(found) == text and sure
+
+
+@pytest.mark.parametrize("segment", [250_000, 40])
+def test_html_suffix_array_is_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(substring_dedup, "SEGMENT", segment)
+    rng = random.Random(6)
+    shared = [words(rng, n, 10**6) for n in (9, 10, 14, 40)]
+    rows = []
+    for i in range(60):
+        parts = [words(rng, rng.randrange(1, 25), 10**6) if rng.random() < 0.6 else shared[rng.randrange(4)][rng.randrange(3) :] for _ in range(rng.randrange(1, 6))]
+        rows.append((i, f"http://{'ab'[i % 2] if i % 3 else 'hot'}.org/{i}", "".join(f"<div>{' '.join(p)}</div>" for p in parts)))
+    rows += [(100, *rows[0][1:]), (101, *rows[0][1:]), (102, "http://a.org/", f"<p>{' '.join(shared[3] * 300)}")]  # equal pages are one; a long one repeats itself
+    host = lambda u: u.split("/")[2]
+    streams = {}
+    for _, u, h in rows:
+        streams.setdefault(host(u), set()).add(h)
+    on = {}
+    for u, pages in streams.items():
+        for h in pages:
+            t = " ".join(html_extract.blocks(h)[0]).split()
+            for k in range(len(t) - 9):
+                on.setdefault((u, *t[k : k + 10]), set()).add(h)
+    expected = []
+    for i, u, h in rows:
+        found = html_extract.blocks(h)[0]
+        t = " ".join(found).split()
+        gone, left, at = [False] * len(t), [], 0
+        for k in range(len(t) - 9):
+            if len(on[(host(u), *t[k : k + 10])]) > 1:
+                gone[k : k + 10] = [True] * 10
+        for p in found:
+            n = len(p.split())
+            if kept := [w for w, g in zip(t[at : at + n], gone[at : at + n], strict=True) if not g]:
+                left.append(" ".join(kept))
+            at += n
+        expected.append((i, u, "\n".join(left), len("\n".join(left))))
+    assert any(not e[2] for e in expected) and any(e[2] for e in expected)
+    same(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)), expected)
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
