@@ -42,6 +42,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    for i, (name, stage) in enumerate(STAGES[:-1]):
         docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if i:
+            scratch.drop(STAGES[i - 1][0])  # it was read for the last time
     return STAGES[-1][1](spark, docs, sf_dir)
