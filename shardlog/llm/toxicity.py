@@ -14,13 +14,13 @@ gets the share of toxic labels (0 when there are none). Repeated rows are scored
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import crc_mod, slices, smallest_hashed
 
@@ -54,10 +54,10 @@ def _slots(text: str | None, seen: np.ndarray) -> np.ndarray:
 class ToxicityModel:
     weights: np.ndarray
     bias: float
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(1 << BITS, np.int32), repr=False, compare=False)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        seen = np.zeros(1 << BITS, np.int32)
-        z = np.array([self.weights[_slots(t, seen)].sum(dtype=np.float64) for t in texts], np.float64) + self.bias
+        z = np.array([self.weights[_slots(t, self.seen)].sum(dtype=np.float64) for t in texts], np.float64) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -131,8 +131,9 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))  # 1 MB whatever the input
 
     def run(batches):
+        made = ToxicityModel(*shared.value)
         for b in slices(batches):
-            s = ToxicityModel(*shared.value).score(b.column(1).to_pylist())
+            s = made.score(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
@@ -141,9 +142,11 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -
 def reject(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, all columns as they are, whose text scores under the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    text = docs.columns.index("text")
 
-    @F.pandas_udf("boolean")
-    def clean(text: pd.Series) -> pd.Series:
-        return pd.Series(ToxicityModel(*shared.value).score(text.tolist()) < threshold)
+    def run(batches):
+        made = ToxicityModel(*shared.value)
+        for b in slices(batches):
+            yield b.filter(pa.array(made.score(b.column(text).to_pylist()) < threshold))
 
-    return docs.where(clean(docs["text"]))
+    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]))
