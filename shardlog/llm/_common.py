@@ -21,7 +21,20 @@ NO_ID = 2**63 - 1
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Bytes that an Arrow batch to a Python worker may take; rows alone are no bound where texts are long.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's bound on Arrow batches to BATCH_BYTES; a lower one stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
