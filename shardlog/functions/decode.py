@@ -66,10 +66,15 @@ def enum_value(raw: Column, options: tuple[str, ...]) -> Column:
 
 
 def set_labels(mask: Column, options: tuple[str, ...]) -> Column:
-    """Comma-joined labels of the bits set, lowest first; a bit without a label leaves its comma."""
-    labels = F.array(*(F.lit(o) for o in options)) if options else F.array().cast("array<string>")
-    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("bit_get", mask, i) == 1)
-    return F.when(mask.isNotNull(), F.array_join(F.transform(bits, lambda i: F.coalesce(F.get(labels, i), F.lit(""))), ","))
+    """Comma-joined labels of the bits set, lowest first; a bit without a label leaves its comma. One plain expression per label; only
+    masks with bits beyond the labels take the general way."""
+    labels = [F.when(mask.bitwiseAND(F.lit(1 << i if i < 63 else -(1 << 63)).cast("bigint")) != 0, F.lit(o)) for i, o in enumerate(options[:64])]
+    known = sum(1 << i for i in range(min(len(options), 64)))
+    known = known - (1 << 64) if known >= 1 << 63 else known
+    extra = F.bit_count(mask.bitwiseAND(F.lit(~known).cast("bigint")))
+    named = F.concat_ws(",", *labels) if labels else F.lit("")
+    some = mask.bitwiseAND(F.lit(known).cast("bigint")) != 0
+    return F.when(mask.isNotNull(), F.when(extra == 0, named).otherwise(F.concat(named, F.repeat(F.lit(","), F.when(some, extra).otherwise(extra - 1)))))
 
 
 def uint64(raw: Column, mode: str) -> Column:

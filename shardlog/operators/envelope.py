@@ -50,33 +50,41 @@ def envelope(changes: DataFrame, server: str, before: Column, after: Column, tra
     return changes.withColumn("record", F.struct(*parts))
 
 
-def raw_images(changes: DataFrame) -> DataFrame:
-    """before and after as maps of raw cells, key (map of the key's cells, from the image that is there) per row's own schema."""
-    d = changes.withColumn("before", cells_by_name(unpack(F.col("before")), F.col("fields"))).withColumn("after", cells_by_name(unpack(F.col("after")), F.col("fields")))
+def raw_images(changes: DataFrame, kept: Callable[[Column], Column] | None = None) -> DataFrame:
+    """before and after as maps of raw cells, key (map of the key's cells, from the image that is there) per row's own schema.
+
+    kept: whether a column of a name is kept; all are, if it is not given."""
+    some = lambda m: F.map_filter(m, lambda k, _: kept(k)) if kept else m
+    d = changes.withColumn("before", some(cells_by_name(unpack(F.col("before")), F.col("fields")))).withColumn("after", some(cells_by_name(unpack(F.col("after")), F.col("fields"))))
     names = key_names(F.col("fields"))
     pick = lambda m: F.when(m.isNotNull() & (F.size(names) > 0), F.map_filter(m, lambda k, _: F.array_contains(names, k)))
     return d.withColumn("key_before", pick(F.col("before"))).withColumn("key", F.coalesce(pick(F.col("after")), pick(F.col("before"))))
 
 
-def _struct(cell: Callable[[int, str], Column], there: Column, fields: list, options: DecodeOptions | None, labels_as_text: bool) -> Column:
+def typed_cells(cell: Callable[[int, str], Column], fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> dict[str, Column]:
+    """name -> typed value, from a function that gives the raw cell of a place and name. Unknown kinds are left out unless asked for."""
     check_names([f["name"] for f in fields])
-    out = []
+    out = {}
     for i, f in enumerate(fields):
         kind = kind_of(f["type"], f["column_type"], f["flags"] or 0, f["column_length"], labels_as_text)
         if (v := value(cell(i, f["name"]), kind, options, f["type"])) is not None:
-            out.append(v.alias(f["name"]))
-    return F.when(there, F.struct(*out))
+            out[f["name"]] = v
+    return out
+
+
+def _struct(values: dict[str, Column], there: Column) -> Column:
+    return F.when(there, F.struct(*(v.alias(n) for n, v in values.items())))
 
 
 def typed(image: Column, fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> Column:
-    """A typed struct of a raw image (map) for one schema version. Columns come by name; unknown kinds are left out unless asked for."""
-    return _struct(lambda _, name: F.element_at(image, F.lit(name)), image.isNotNull(), fields, options, labels_as_text)
+    """A typed struct of a raw image (map) for one schema version, columns by name."""
+    return _struct(typed_cells(lambda _, name: F.element_at(image, F.lit(name)), fields, options, labels_as_text), image.isNotNull())
 
 
 def typed_row(row: Column, fields: list, options: DecodeOptions | None = None, labels_as_text: bool = False) -> Column:
     """The same straight from a packed row, columns by position: all of it compiles, and columns that nobody reads are not decoded."""
     found = cells(row, len(fields))
-    return _struct(lambda i, _: found[i], row.isNotNull(), fields, options, labels_as_text)
+    return _struct(typed_cells(lambda i, _: found[i], fields, options, labels_as_text), row.isNotNull())
 
 
 def split_key_updates(changes: DataFrame, key_before: Column, key_after: Column, tombstones: bool = True) -> DataFrame:

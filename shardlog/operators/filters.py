@@ -40,6 +40,13 @@ def columns_kept(keyspace: str, table: str, columns: list[str], include: str | N
     return [c for c in columns if (not include or re.match(_any(include), full(c))) and (not exclude or not re.match(_any(exclude), full(c)))]
 
 
+def column_included(table: Column, name: Column, include: str | None = None, exclude: str | None = None) -> Column:
+    """The same for a column of names."""
+    full = F.concat_ws(".", table, name)
+    ok = full.rlike(_any(include)) if include else F.lit(True)
+    return ok & ~full.rlike(_any(exclude)) if exclude else ok
+
+
 def filter_tables(df: DataFrame, include: str | None = None, exclude: str | None = None) -> DataFrame:
     """Rows of tables that pass, before schemas are tracked or rows decoded."""
     return df.where(table_included(F.col("keyspace"), F.col("table"), include, exclude))

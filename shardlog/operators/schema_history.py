@@ -13,27 +13,28 @@ _TABLE = ["stream", "shard", "keyspace", "table"]
 
 
 def versions(events: DataFrame, exclude_keyspace: bool = False) -> DataFrame:
-    """stream, shard, keyspace, table, from_seq, to_seq (the next version's place; null: still valid), fields."""
+    """stream, shard, keyspace, table, from_seq, to_seq (the next version's place; null: still valid), fields, labels_as_text (the stream
+    writes ENUM and SET as labels)."""
     keyspace, table = table_name(exclude_keyspace)
     named = F.when(F.exists("fields", lambda f: (F.coalesce(f["name"], F.lit("")) == "") | f["name"].startswith("@")), F.raise_error(F.lit("illegal column name")).cast("string"))
-    v = events.where(F.col("type") == FIELD).select("stream", "shard", keyspace.alias("keyspace"), table.alias("table"), place().alias("from_seq"), F.when(named.isNull(), F.col("fields")).alias("fields"))
+    v = events.where(F.col("type") == FIELD).select("stream", "shard", keyspace.alias("keyspace"), table.alias("table"), place().alias("from_seq"), F.when(named.isNull(), F.col("fields")).alias("fields"), (F.coalesce(F.col("enum_set_string"), F.lit(False)) if "enum_set_string" in events.columns else F.lit(False)).alias("labels_as_text"))
     # A schema that is sent again changes nothing, so a history is as long as the table's real changes. Repeats go within blocks of
     # responses first, so a table whose schema is sent with every transaction is no single task.
     v = v.where("fields is not null").withColumn("_block", F.floor(F.col("from_seq") / F.lit(2**24 * BLOCK)))
     for keys in ([*_TABLE, "_block"], _TABLE):
         order = Window.partitionBy(*keys).orderBy("from_seq")
-        v = v.withColumn("_before", F.lag("fields").over(order)).where(~F.col("fields").eqNullSafe(F.col("_before"))).drop("_before")
+        v = v.withColumn("_is", F.struct("fields", "labels_as_text")).withColumn("_before", F.lag("_is").over(order)).where(~F.col("_is").eqNullSafe(F.col("_before"))).drop("_before", "_is")
     v = v.drop("_block")
     return v.withColumn("to_seq", F.lead("from_seq").over(order))
 
 
 def with_schema(changes: DataFrame, history: DataFrame, most: int = 200_000) -> DataFrame:
-    """changes with the fields of the latest version at or before each row; rows without one are left out.
+    """changes with the fields and labels_as_text of the latest version at or before each row; rows without one are left out.
 
     The history is small next to the rows and broadcast up to ``most`` versions, so rows are not shuffled; beyond that it is joined
     by shuffle, where a hot table is split by Spark.
     """
-    v = cut(history.select(*(F.col(k).alias(f"_{k}") for k in _TABLE), "from_seq", "to_seq", "fields"), "schemas")
+    v = cut(history.select(*(F.col(k).alias(f"_{k}") for k in _TABLE), "from_seq", "to_seq", "fields", "labels_as_text"), "schemas")
     if v.count() <= most:
         v = F.broadcast(v)
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _TABLE]

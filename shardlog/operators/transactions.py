@@ -1,8 +1,8 @@
 """Transactions: assembly from the event log, row changes, positions and counters.
 
 The log of a stream is totally ordered by (response_no, event_no). ``assemble`` numbers transactions by running totals over blocks of
-responses and is right for logs that keep the protocol (every BEGIN has its COMMIT, no heartbeat inside a transaction);
-``assemble_strict`` runs the protocol's state machine per stream and reports violations as rows.
+responses, and takes only units with odd marks through the protocol; ``assemble_strict`` runs the protocol's state machine over each
+stream. Both report violations as rows and give the same units.
 """
 
 from __future__ import annotations
@@ -34,33 +34,101 @@ def place() -> Column:
 def assemble(events: DataFrame) -> DataFrame:
     """events with seq, txn_no, txn_vgtid (the last VGTID of the unit), commit_ts, in_copy.
 
-    A unit ends with the response that closes its transaction, or holds a DDL, OTHER or HEARTBEAT event; what is open at the log's end
-    is left out. Units without a VGTID are dropped, unless they hold a heartbeat. All of this is decided on one row per response, then
-    per unit, in small tables that are written as they come; events themselves are joined once.
+    A unit ends with the response that holds a COMMIT, or a DDL, OTHER or HEARTBEAT event; what is open at the log's end is left out.
+    Units without a VGTID are dropped, unless they hold a heartbeat. All of this is decided on one row per response, then per unit, in
+    small tables that are written as they come; events themselves are joined once.
+
+    Units whose marks are not one BEGIN and then one COMMIT at most are odd. Only their events go through the protocol, unit by unit:
+    a repeated BEGIN that it tolerates starts the unit over, what it does not allow ends the stream with a row of type ERROR.
     """
     kind = F.col("type")
     flag = lambda c: F.max(c.cast("int"))
     r = events.groupBy("stream", "response_no").agg(
-        F.sum(F.when(kind == BEGIN, 1).when(kind == COMMIT, -1).otherwise(0)).alias("_opens"),
-        flag(kind == COMMIT).alias("_commit"),
+        F.sum((kind == BEGIN).cast("int")).alias("_begins"),
+        F.sum((kind == COMMIT).cast("int")).alias("_commits"),
+        F.coalesce(F.max(F.when(kind == BEGIN, F.col("event_no"))) > F.min(F.when(kind == COMMIT, F.col("event_no"))), F.lit(False)).alias("_late"),
         flag(kind.isin(*FLUSHING)).alias("_flush"),
         flag(kind == HEARTBEAT).alias("_beat"),
         F.sum((kind == COPY_COMPLETED).cast("int")).alias("_copies"),
         F.max(F.when(kind == COMMIT, F.col("ts_sec"))).alias("_ts"),
         F.max_by(F.when(kind == VGTID, F.col("vgtid")), F.when(kind == VGTID, F.col("event_no"))).alias("_vgtid"),
     )
-    r = cut(r, "responses")
-    block = F.floor(F.col("response_no") / BLOCK)
-    r = running_sum(r, ["stream"], ["response_no"], block, _open=F.col("_opens"), _copied=F.col("_copies"))
-    ends = ((F.col("_flush") == 1) | (F.col("_commit") == 1) & (F.col("_open") == 0)).cast("int")
-    r = running_sum(cut(r.withColumn("_end", ends), "closed"), ["stream"], ["response_no"], block, _ended=F.col("_end"))
+    r = cut(r.withColumn("_end", ((F.col("_flush") == 1) | (F.col("_commits") > 0)).cast("int")), "responses")
+    r = running_sum(r, ["stream"], ["response_no"], F.floor(F.col("response_no") / BLOCK), _ended=F.col("_end"), _copied=F.col("_copies"))
     r = cut(r.withColumn("_unit", F.col("_ended") - F.col("_end") + 1), "units")
-    units = r.groupBy("stream", "_unit").agg(F.max("_end").alias("_end"), F.max("_beat").alias("_beat"), F.max("_copied").alias("_copied"), F.max("_ts").alias("commit_ts"), F.max_by("_vgtid", F.when(F.col("_vgtid").isNotNull(), F.col("response_no"))).alias("txn_vgtid"))
-    kept = units.where((F.col("_end") == 1) & (F.col("txn_vgtid").isNotNull() | (F.col("_beat") == 1)))
+    begins, commits = F.sum("_begins"), F.sum("_commits")
+    odd = (begins > 1) | (commits > 1) | (commits > begins) | F.max("_late")
+    units = r.groupBy("stream", "_unit").agg(F.max("_end").alias("_end"), F.max("_beat").alias("_beat"), F.max("_copied").alias("_copied"), F.max("_ts").alias("commit_ts"), F.max_by("_vgtid", F.when(F.col("_vgtid").isNotNull(), F.col("response_no"))).alias("txn_vgtid"), odd.alias("_odd"))
+    errors = None
+    if units.where("_odd").isEmpty():
+        units = units.withColumn("_from", F.lit(None).cast("bigint"))
+    else:
+        strange = r.select("stream", "response_no", "_unit").join(units.where("_odd").select("stream", "_unit"), ["stream", "_unit"])
+        judged = cut(_judged(events.select("stream", "response_no", "event_no", "type", "vgtid").join(strange, ["stream", "response_no"])), "judged")
+        errors = judged.where("error is not null").groupBy("stream").agg(F.min_by(F.struct(F.col("_unit").alias("_last"), "response_no", "event_no", "error"), "_unit").alias("e")).select("stream", "e.*")
+        again = judged.where("error is null").select("stream", "_unit", place().alias("_from"), F.col("vgtid").alias("_own"))
+        units = units.join(errors.select("stream", "_last"), "stream", "left").where("_last is null or _unit < _last").join(again, ["stream", "_unit"], "left")
+        units = units.withColumn("txn_vgtid", F.when(F.col("_from").isNull(), F.col("txn_vgtid")).otherwise(F.col("_own")))
+    kept = units.where((F.col("_end") == 1) & (F.col("txn_vgtid").isNotNull() | (F.col("_beat") == 1))).select("stream", "_unit", "_copied", "commit_ts", "txn_vgtid", "_from")
     numbered = running_sum(kept, ["stream"], ["_unit"], F.floor(F.col("_unit") / BLOCK), txn_no=F.lit(1))
-    named = r.select("stream", "response_no", "_unit").join(numbered, ["stream", "_unit"]).select("stream", "response_no", "txn_no", "txn_vgtid", "commit_ts", "_copied")
+    if errors is not None:
+        numbered = cut(numbered, "numbered")
+    named = r.select("stream", "response_no", "_unit").join(numbered, ["stream", "_unit"]).select("stream", "response_no", "txn_no", "txn_vgtid", "commit_ts", "_copied", "_from")
     copying = F.coalesce(F.col("copying"), F.lit(False)) if "copying" in events.columns else F.lit(False)
-    return events.join(named, ["stream", "response_no"]).select(*events.columns, place().alias("seq"), "txn_no", "txn_vgtid", "commit_ts", (copying & (F.col("_copied") == 0)).alias("in_copy"))
+    out = events.join(named, ["stream", "response_no"]).where(F.col("_from").isNull() | (place() >= F.col("_from"))).select(*events.columns, place().alias("seq"), "txn_no", "txn_vgtid", "commit_ts", (copying & (F.col("_copied") == 0)).alias("in_copy"))
+    if errors is None:
+        return out
+    last = numbered.groupBy("stream").agg(F.max("txn_no").alias("_n"))
+    made = errors.join(last, "stream", "left").select(*_error_columns(events), place().alias("seq"), (F.coalesce("_n", F.lit(0)) + 1).alias("txn_no"), F.lit(None).cast("string").alias("txn_vgtid"), F.lit(None).cast("bigint").alias("commit_ts"), F.lit(False).alias("in_copy"))
+    return out.unionByName(made)
+
+
+def _error_columns(events: DataFrame) -> list[Column]:
+    """The columns of events for a violation (stream, response_no, event_no, error)."""
+    own = {"stream", "response_no", "event_no"}
+    given = {"type": F.lit("ERROR"), "statement": F.col("error")}
+    return [F.col(f.name) if f.name in own else given[f.name].alias(f.name) if f.name in given else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields]
+
+
+def _judged(light: DataFrame) -> DataFrame:
+    """For each odd unit (stream, _unit): the place from which it counts and its VGTID, or the response that breaks the protocol."""
+    names = ["stream", "_unit", "response_no", "event_no", "type", "vgtid"]
+    made = [pa.field("stream", pa.string()), pa.field("_unit", pa.int64()), pa.field("response_no", pa.int64()), pa.field("event_no", pa.int32()), pa.field("error", pa.string()), pa.field("vgtid", pa.string())]
+
+    def verdict(unit: Iterator[tuple]) -> tuple:
+        seen: list[str] = []  # of the buffer, no more than any tolerated one and one more
+        begun = committed = False
+        vgtid, response, start, at = None, None, 0, (0, 0)
+        for _, _, response_no, event_no, kind, position in unit:
+            if response_no != response:
+                response, start = response_no, event_no
+            error = None
+            if kind == VGTID:
+                vgtid = position
+            elif kind == BEGIN:
+                if committed:
+                    error = "BEGIN after COMMIT"
+                elif begun:
+                    if tuple(seen) not in _RESTARTS:
+                        error = "BEGIN inside a transaction"
+                    seen, vgtid, at = [], None, (response_no, event_no)
+                begun = True
+            elif kind == COMMIT:
+                error = "COMMIT before BEGIN" if not begun else "second COMMIT" if committed else None
+                committed = True
+            if error:
+                return response, start, error, None
+            if len(seen) < 5:
+                seen.append(kind)
+        return *at, None, vgtid
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for key, unit in groupby(rows, key=lambda r: r[:2]):
+            found = (*key, *verdict(unit))
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(found, made, strict=True)], [f.name for f in made])
+
+    return light.select(*names).repartition("stream", "_unit").sortWithinPartitions("stream", "_unit", "response_no", "event_no").mapInArrow(run, "stream string, _unit long, response_no long, event_no int, error string, vgtid string")
 
 
 class ProtocolError(ValueError):
@@ -165,9 +233,7 @@ def assemble_strict(events: DataFrame, copying: bool = False) -> DataFrame:
 
     found = cut(events.select(*light).repartition("stream").sortWithinPartitions("stream", "response_no", "event_no").mapInArrow(run, schema), "strict")
     units = events.join(found.where("error is null").drop("error"), ["stream", "response_no", "event_no"]).select(*events.columns, "txn_no", "txn_vgtid", "commit_ts", "in_copy")
-    own = {"stream", "response_no", "event_no", "type", "statement"}
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) if f.name not in own else F.lit("ERROR").alias("type") if f.name == "type" else F.col("error").alias("statement") if f.name == "statement" else F.col(f.name) for f in events.schema.fields]
-    return units.unionByName(found.where("error is not null").select(*blank, "txn_no", "txn_vgtid", "commit_ts", "in_copy"))
+    return units.unionByName(found.where("error is not null").select(*_error_columns(events), "txn_no", "txn_vgtid", "commit_ts", "in_copy"))
 
 
 def table_name(exclude_keyspace: bool = False) -> tuple[Column, Column]:
@@ -196,11 +262,22 @@ def messages(units: DataFrame) -> DataFrame:
     return m.select("stream", "txn_no", "response_no", "event_no", F.col("type").alias("kind"), "ts_sec", "keyspace", "shard", "statement", F.col("txn_vgtid").alias("txn_id"))
 
 
-def offsets(units: DataFrame) -> DataFrame:
-    """stream, txn_no, vgtid, restart_vgtid: rows of a transaction carry the position before it, so a restart repeats it whole."""
+def positions(units: DataFrame) -> DataFrame:
+    """stream, txn_no, vgtid (null for units without one), position_no: how many units of the stream had a position by then."""
+    if "type" in units.columns:
+        units = units.where(F.col("type") != "ERROR")
     t = units.groupBy("stream", "txn_no").agg(F.max("txn_vgtid").alias("vgtid"))
-    before = t.select("stream", (F.col("txn_no") + 1).alias("txn_no"), F.col("vgtid").alias("restart_vgtid"))
-    return t.join(before, ["stream", "txn_no"], "left")
+    return running_sum(t, ["stream"], ["txn_no"], F.floor(F.col("txn_no") / BLOCK), position_no=F.col("vgtid").isNotNull().cast("int"))
+
+
+def offsets(units: DataFrame) -> DataFrame:
+    """stream, txn_no, vgtid, restart_vgtid: the position as of each transaction, and the one before it, which its rows carry, so a
+    restart repeats it whole. A unit without a position (a heartbeat) keeps the last one."""
+    p = cut(positions(units), "positions")
+    own = p.where("vgtid is not null").select("stream", F.col("position_no").alias("_at"), F.col("vgtid").alias("_v"))
+    before = F.col("position_no") - F.col("vgtid").isNotNull().cast("int")
+    as_of = lambda at, name: p.select("stream", "txn_no", at.alias("_at")).join(own, ["stream", "_at"], "left").select("stream", "txn_no", F.col("_v").alias(name))
+    return as_of(F.col("position_no"), "vgtid").join(as_of(before, "restart_vgtid"), ["stream", "txn_no"])
 
 
 def resume(units: DataFrame, positions: DataFrame) -> DataFrame:

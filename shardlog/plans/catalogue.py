@@ -212,9 +212,13 @@ def enum_decode(spark: SparkSession, sf: str) -> DataFrame:
     return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", decode.enum_value(i, ("small", "medium", "large")).alias("label"))
 
 
-@query("""SELECT l_orderkey, l_linenumber, rtrim(concat(CASE WHEN m & 1 > 0 THEN 'a,' ELSE '' END, CASE WHEN m & 2 > 0 THEN 'b,' ELSE '' END, CASE WHEN m & 4 > 0 THEN 'c,' ELSE '' END), ',') AS labels FROM (SELECT *, (l_partkey % 8)::BIGINT AS m FROM lineitem)""")
+@query("""SELECT l_orderkey, l_linenumber, array_to_string(list_transform(list_filter(range(0, 63), lambda i: (m >> i) & 1 = 1), lambda i: coalesce(['a', 'b', 'c'][i + 1], '')), ',') AS labels
+FROM (SELECT *, (l_partkey % 8)::BIGINT + (l_linenumber % 3) * 8 + CASE WHEN l_linenumber = 4 THEN 1099511627776 ELSE 0 END AS m FROM lineitem)""")
 def set_decode(spark: SparkSession, sf: str) -> DataFrame:
-    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", decode.set_labels((F.col("l_partkey") % 8).cast("bigint"), ("a", "b", "c")).alias("labels"))
+    """Masks with bits that have no label, too."""
+    n = F.col("l_linenumber")
+    mask = F.col("l_partkey") % 8 + n % 3 * 8 + F.when(n == 4, F.lit(2**40)).otherwise(F.lit(0))
+    return _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", decode.set_labels(mask.cast("bigint"), ("a", "b", "c")).alias("labels"))
 
 
 @query("""SELECT event_id, n AS as_string, (CASE WHEN n::DECIMAL(38,0) < 0 THEN n::DECIMAL(38,0) + 18446744073709551616 ELSE n::DECIMAL(38,0) END)::VARCHAR AS as_precise,
@@ -352,11 +356,11 @@ _STATEMENTS = [
 ]
 
 
-@query("SELECT n_nationkey, CASE n_nationkey % 6 " + " ".join(f"WHEN {i} THEN '{v}'" for i, (_, v, _) in enumerate(_STATEMENTS)) + " END AS change_type, '\"0\".\"ks\".\"' || CASE n_nationkey % 6 " + " ".join(f"WHEN {i} THEN '{t}'" for i, (_, _, t) in enumerate(_STATEMENTS)) + " END || '\"' AS table_id FROM nation")
+@query("SELECT c_custkey, CASE c_custkey % 6 " + " ".join(f"WHEN {i} THEN '{v}'" for i, (_, v, _) in enumerate(_STATEMENTS)) + " END AS change_type, '\"0\".\"ks\".\"' || CASE c_custkey % 6 " + " ".join(f"WHEN {i} THEN '{t}'" for i, (_, _, t) in enumerate(_STATEMENTS)) + " END || '\"' AS table_id FROM customer")
 def ddl_extract(spark: SparkSession, sf: str) -> DataFrame:
-    s = F.get(F.array(*(F.lit(x) for x, _, _ in _STATEMENTS)), F.col("n_nationkey") % len(_STATEMENTS))
-    m = _t(spark, sf, "nation").select("n_nationkey", s.alias("s"))
-    return m.select("n_nationkey", ddl.change_type(F.col("s")).alias("change_type"), ddl.quoted_id(F.lit("0"), F.lit("ks"), ddl.table_of(F.col("s"))).alias("table_id"))
+    s = F.get(F.array(*(F.lit(x) for x, _, _ in _STATEMENTS)), F.col("c_custkey") % len(_STATEMENTS))
+    m = _t(spark, sf, "customer").select("c_custkey", s.alias("s"))
+    return m.select("c_custkey", ddl.change_type(F.col("s")).alias("change_type"), ddl.quoted_id(F.lit("0"), F.lit("ks"), ddl.table_of(F.col("s"))).alias("table_id"))
 
 
 @query("""SELECT o_orderkey, '{"id":"name:srv;vgtid:g' || o_orderkey || '","op":"c","after":"' || o_orderstatus || '"}' AS event FROM orders""")
@@ -379,43 +383,43 @@ def column_truncate(spark: SparkSession, sf: str) -> DataFrame:
 # ---- planning, copies, metadata
 
 
-@query("SELECT n_name AS shard, ((row_number() OVER (ORDER BY n_name) - 1) % 4)::INTEGER AS task FROM nation")
+@query("SELECT c_name AS shard, ((row_number() OVER (ORDER BY c_name) - 1) % 4)::INTEGER AS task FROM customer")
 def task_assign(spark: SparkSession, sf: str) -> DataFrame:
-    return planner.assign_table(_t(spark, sf, "nation").select(F.col("n_name").alias("shard")), 4)
+    return planner.assign_table(_t(spark, sf, "customer").select(F.col("c_name").alias("shard")), 4)
 
 
-@query("""SELECT n_name AS shard, CASE WHEN n_nationkey % 3 = 0 THEN CASE WHEN n_nationkey % 2 = 0 THEN NULL ELSE 'c' || n_nationkey END WHEN n_nationkey % 3 = 1 THEN 'p' || n_nationkey ELSE 'current' END AS gtid,
-CASE n_nationkey % 3 WHEN 0 THEN 'current' WHEN 1 THEN 'previous' ELSE 'config' END AS origin FROM nation""")
+@query("""SELECT c_name AS shard, CASE WHEN c_custkey % 3 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE 'c' || c_custkey END WHEN c_custkey % 3 = 1 THEN 'p' || c_custkey ELSE 'current' END AS gtid,
+CASE c_custkey % 3 WHEN 0 THEN 'current' WHEN 1 THEN 'previous' ELSE 'config' END AS origin FROM customer""")
 def offset_precedence(spark: SparkSession, sf: str) -> DataFrame:
     """This generation's value (a stored null counts), the last one's, the configuration's."""
-    n = _t(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("shard"))
-    k = F.col("n_nationkey")
+    n = _t(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("shard"))
+    k = F.col("c_custkey")
     now = n.where(k % 3 == 0).select("shard", F.when(k % 2 != 0, F.concat(F.lit("c"), k)).alias("gtid"))
     old = n.where(k % 3 < 2).select("shard", F.concat(F.lit("p"), k).alias("gtid"))
     return planner.resolve_offsets(n.select("shard"), now, old, "current")
 
 
-@query("SELECT n_name AS shard FROM nation WHERE n_regionkey = 0")
+@query("SELECT c_name AS shard FROM customer WHERE c_nationkey = 0")
 def lost_shards(spark: SparkSession, sf: str) -> DataFrame:
-    n = _t(spark, sf, "nation").select("n_regionkey", F.col("n_name").alias("shard"))
-    return planner.lost_shards(n, n.where("n_regionkey <> 0"))
+    n = _t(spark, sf, "customer").select("c_nationkey", F.col("c_name").alias("shard"))
+    return planner.lost_shards(n, n.where("c_nationkey <> 0"))
 
 
-@query("SELECT 'ks' AS keyspace, n_name AS shard, 'g' || n_nationkey AS gtid FROM nation")
+@query("SELECT 'ks' AS keyspace, c_name AS shard, 'g' || c_custkey AS gtid FROM customer")
 def offset_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Each task's stored offset holds its shards; merged they hold all."""
-    n = _t(spark, sf, "nation").select(F.col("n_name").alias("shard"), "n_nationkey")
+    n = _t(spark, sf, "customer").select(F.col("c_name").alias("shard"), "c_custkey")
     tasks = planner.assign_table(n.select("shard"), 4).join(n, "shard")
-    one = F.struct(F.lit("ks").alias("keyspace"), "shard", F.concat(F.lit("g"), "n_nationkey").alias("gtid"), F.array().cast(position.VGTID.elementType["table_p_ks"].dataType).alias("table_p_ks"))
+    one = F.struct(F.lit("ks").alias("keyspace"), "shard", F.concat(F.lit("g"), "c_custkey").alias("gtid"), F.array().cast(position.VGTID.elementType["table_p_ks"].dataType).alias("table_p_ks"))
     stored = tasks.groupBy("task").agg(position.vgtid_json(F.collect_list(one)).alias("vgtid")).select(F.lit("srv").alias("server"), F.format_string("task%d_4_1", "task").alias("task_key"), "vgtid")
     return planner.merge_offsets(stored, "srv", 4, 1).select(F.lit("ks").alias("keyspace"), "shard", "gtid")
 
 
-@query("SELECT l_orderkey, l_linenumber, 'r' AS op, 0::BIGINT AS ts_ms FROM lineitem WHERE l_orderkey > 100 OR (l_orderkey = 100 AND l_linenumber > 2)")
+@query("SELECT l_orderkey, l_linenumber, 'c' AS op, 0::BIGINT AS ts_ms FROM lineitem WHERE l_orderkey > 100 OR (l_orderkey = 100 AND l_linenumber > 2)")
 def copy_resume(spark: SparkSession, sf: str) -> DataFrame:
     """A copy goes on after its cursor, by lexicographic order of a composite key."""
     c = snapshot.copy_rows(_t(spark, sf, "lineitem").withColumn("l_linenumber", F.col("l_linenumber").cast("bigint")), "ks", "lineitem", ["l_orderkey", "l_linenumber"], [100, 2])
-    return c.select("key.l_orderkey", F.col("key.l_linenumber").cast("int").alias("l_linenumber"), F.lit("r").alias("op"), F.col("ts_sec").alias("ts_ms"))
+    return c.select("key.l_orderkey", F.col("key.l_linenumber").cast("int").alias("l_linenumber"), envelope.op_code(F.col("op")).alias("op"), F.col("ts_sec").alias("ts_ms"))
 
 
 @query("SELECT DISTINCT s_nationkey::VARCHAR AS shard FROM supplier")
@@ -491,18 +495,18 @@ def resume_after(spark: SparkSession, sf: str) -> DataFrame:
     return transactions.resume(u, spark.range(1).select(F.lit("s0").alias("stream"), F.lit("g1000").alias("vgtid"))).select("event_id")
 
 
-@query("""SELECT n_nationkey, '{"-80":' || (n_nationkey + 1) || ',"80-":1}' AS bumped FROM nation""")
+@query("""SELECT c_custkey, '{"-80":' || (c_custkey + 1) || ',"80-":1}' AS bumped FROM customer""")
 def epoch_maps(spark: SparkSession, sf: str) -> DataFrame:
     """Epoch maps a generation later, with sorted keys."""
-    m = position.parse_epoch_map(F.concat(F.lit('{"80-":0,"-80":'), F.col("n_nationkey"), F.lit("}")))
-    return _t(spark, sf, "nation").select("n_nationkey", position.epoch_map_json(position.bump_epochs(m)).alias("bumped"))
+    m = position.parse_epoch_map(F.concat(F.lit('{"80-":0,"-80":'), F.col("c_custkey"), F.lit("}")))
+    return _t(spark, sf, "customer").select("c_custkey", position.epoch_map_json(position.bump_epochs(m)).alias("bumped"))
 
 
-@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN '[{"keyspace":"ks","shard":"s' || n_nationkey || '","gtid":"current","table_p_ks":[]}]' ELSE '[{"keyspace":"ks","shard":"","gtid":"current","table_p_ks":[]}]' END AS vgtid FROM nation""")
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '[{"keyspace":"ks","shard":"s' || c_custkey || '","gtid":"current","table_p_ks":[]}]' ELSE '[{"keyspace":"ks","shard":"","gtid":"current","table_p_ks":[]}]' END AS vgtid FROM customer""")
 def default_positions(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("n_nationkey")
+    k = F.col("c_custkey")
     shards = F.when(k % 2 == 0, F.array(F.concat(F.lit("s"), k))).otherwise(F.array().cast("array<string>"))
-    return _t(spark, sf, "nation").select("n_nationkey", position.vgtid_json(position.make_vgtid(F.lit("ks"), shards, F.transform(shards, lambda _: F.lit("current")))).alias("vgtid"))
+    return _t(spark, sf, "customer").select("c_custkey", position.vgtid_json(position.make_vgtid(F.lit("ks"), shards, F.transform(shards, lambda _: F.lit("current")))).alias("vgtid"))
 
 
 @query("SELECT r_regionkey::VARCHAR || '|' || r_name AS cells FROM region")
@@ -533,16 +537,137 @@ def copy_phase(spark: SparkSession, sf: str) -> DataFrame:
 # ---- end to end, and streaming
 
 
-@query("""SELECT 'pre.orders' AS topic, op, o_orderkey, tombstone, (row_number() OVER (ORDER BY gone, o_orderkey)) IS NOT NULL AS ordered, 0::BIGINT AS epoch FROM (
-SELECT o_orderkey, 0 AS gone, 'c' AS op, false AS tombstone FROM orders UNION ALL SELECT o_orderkey, 0, 'u', false FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 1, 'd', false FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT o_orderkey, 1, 'd', true FROM orders WHERE o_orderkey % 10 = 0)""")
+@query("""WITH x AS (SELECT o_orderkey, o_orderkey AS seq, 1 AS total_order, 'c' AS op, false AS tombstone, NULL AS status_before, o_orderstatus AS status_after, o_orderdate FROM orders
+UNION ALL SELECT o_orderkey, o_orderkey, 2, 'u', false, o_orderstatus, 'U', o_orderdate FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, o_orderkey + 17179869184, 1, 'd', t, CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END, NULL, o_orderdate FROM orders, (SELECT unnest([false, true]) AS t) WHERE o_orderkey % 10 = 0)
+SELECT 'pre.orders' AS topic, op, o_orderkey, tombstone, status_before, status_after, total_order::BIGINT AS total_order, 0::BIGINT AS epoch, seq::BIGINT AS rank, epoch(o_orderdate)::BIGINT * 1000 AS ts_ms, CASE WHEN o_orderkey % 2 = 0 THEN '-80' ELSE '80-' END AS shard,
+'[{"keyspace":"commerce","shard":"' || CASE WHEN o_orderkey % 2 = 0 THEN '-80' ELSE '80-' END || '","gtid":"MySQL56/h1:1-' || seq || '","table_p_ks":[]}]' AS vgtid FROM x""")
 def end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """All of it: from the log to routed, ordered records with tombstones."""
+    """All of it: from the log to routed, ordered records with tombstones, by value."""
     from . import pipeline
 
-    config = Config(server="srv", keyspace=synth.KEYSPACE, topic_prefix="pre", ordered_transactions=True)
+    config = Config(server="srv", keyspace=synth.KEYSPACE, topic_prefix="pre", ordered_transactions=True, snapshot_mode="never")
     d = pipeline.build(_log(spark, sf), config).data
     key = F.get("key", F.lit(0))["value"].cast("bigint")
-    return d.select("topic", "record.op", key.alias("o_orderkey"), "tombstone", F.col("record.transaction.total_order").isNotNull().alias("ordered"), F.col("record.transaction.transaction_epoch").alias("epoch"))
+    status = lambda image: F.element_at(F.col(f"record.{image}"), F.lit("o_orderstatus"))
+    own = F.col("record.transaction")
+    return d.select("topic", "record.op", key.alias("o_orderkey"), "tombstone", status("before").alias("status_before"), status("after").alias("status_after"), own["total_order"].alias("total_order"), own["transaction_epoch"].alias("epoch"), own["transaction_rank"].cast("bigint").alias("rank"), "record.source.ts_ms", "record.source.shard", "record.source.vgtid")
+
+
+# ---- a log with restarts, lone heartbeats, split responses and a violation
+
+#: Its units in SQL: i is the event, v its position, pos_now the one as of it, pos_before the one before it. Stream 3 breaks off at event 1003.
+_UNSTEADY = """WITH u AS (SELECT event_id AS i, (event_id % 4)::VARCHAR AS stream, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) AS txn_no, (event_id // 50) % 3 AS host,
+CASE WHEN event_id % 5 IN (0, 2, 3) THEN '[{"keyspace":"ks","shard":"0","gtid":"MySQL56/h' || ((event_id // 50) % 3) || ':1-' || event_id || '","table_p_ks":[]}]' END AS v FROM events WHERE event_id % 4 <> 3 OR event_id < 1003),
+p AS (SELECT *, last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pos_now, last_value(v IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pos_before FROM u WINDOW w AS (PARTITION BY stream ORDER BY i)) """
+
+
+def _unsteady(spark: SparkSession, sf: str) -> DataFrame:
+    return cut(synth.unsteady_log(_t(spark, sf, "events"), 1003), "log")
+
+
+_UNITS_SQL = _UNSTEADY + """SELECT stream, txn_no, [5, 1, 5, 2, 1][1 + i % 5]::INTEGER AS n_events, v AS vgtid, CASE i % 5 WHEN 0 THEN i WHEN 2 THEN i END AS commit_ts, NULL AS error FROM p
+UNION ALL SELECT '3', (SELECT count(*) + 1 FROM p WHERE stream = '3'), 1, NULL, NULL, 'COMMIT before BEGIN' FROM events WHERE event_id = 1003"""
+
+
+def _unit_rows(units: DataFrame) -> DataFrame:
+    return units.groupBy("stream", "txn_no").agg(F.count(F.lit(1)).cast("int").alias("n_events"), F.max("txn_vgtid").alias("vgtid"), F.max("commit_ts").alias("commit_ts"), F.max(F.when(F.col("type") == "ERROR", F.col("statement"))).alias("error"))
+
+
+@query(_UNITS_SQL)
+def unsteady_units(spark: SparkSession, sf: str) -> DataFrame:
+    return _unit_rows(transactions.assemble(_unsteady(spark, sf)))
+
+
+@query(_UNITS_SQL)
+def unsteady_units_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by the state machine."""
+    return _unit_rows(transactions.assemble_strict(_unsteady(spark, sf)))
+
+
+@query(_UNSTEADY + "SELECT stream, txn_no, pos_now AS vgtid, pos_before AS restart_vgtid FROM p")
+def unsteady_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Positions are kept over heartbeats, which have none."""
+    return transactions.offsets(transactions.assemble(_unsteady(spark, sf)))
+
+
+@query(_UNSTEADY + "SELECT stream, txn_no, 'srv' AS server, pos_now AS vgtid, i * 1000 AS ts_ms FROM p WHERE i % 5 <> 3 AND pos_now IS NOT NULL")
+def unsteady_heartbeats(spark: SparkSession, sf: str) -> DataFrame:
+    """A record for every heartbeat and commit, heartbeats in a row too."""
+    from . import pipeline
+
+    config = Config(server="srv", keyspace="ks", topic_prefix="pre", snapshot_mode="never", heartbeat_interval_ms=1)
+    return pipeline.build(_unsteady(spark, sf), config).heartbeats.select("stream", "txn_no", "server", "vgtid", "ts_ms")
+
+
+_ORDERED_SQL = _UNSTEADY + """, o AS (SELECT *, sum(moved) OVER (PARTITION BY stream ORDER BY i) AS epoch FROM (SELECT *, CASE WHEN host <> lag(host) OVER (PARTITION BY stream ORDER BY i) THEN 1 ELSE 0 END AS moved FROM p WHERE v IS NOT NULL))
+SELECT stream, txn_no, 'c' AS op, i::BIGINT AS id, 's' || (i % 7) AS s, 1::BIGINT AS total_order, epoch::BIGINT AS epoch, i::BIGINT AS rank, i * 1000 AS ts_ms, v AS id_of_txn FROM o WHERE i % 5 IN (0, 2)"""
+
+
+def _ordered(spark: SparkSession, sf: str, inherit: bool) -> DataFrame:
+    from . import pipeline
+
+    config = Config(server="srv", keyspace="ks", topic_prefix="pre", snapshot_mode="never", ordered_transactions=True, inherit_epoch=inherit)
+    d = pipeline.typed(pipeline.build(_unsteady(spark, sf), config), config, "ks", "t")
+    own = F.col("record.transaction")
+    return d.select("stream", "txn_no", "record.op", "record.after.id", "record.after.s", own["total_order"].alias("total_order"), own["transaction_epoch"].alias("epoch"), own["transaction_rank"].cast("bigint").alias("rank"), "record.source.ts_ms", own["id"].alias("id_of_txn"))
+
+
+@query(_ORDERED_SQL)
+def unsteady_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Epochs go on over heartbeats."""
+    return _ordered(spark, sf, False)
+
+
+@query(_ORDERED_SQL)
+def unsteady_order_inheriting(spark: SparkSession, sf: str) -> DataFrame:
+    return _ordered(spark, sf, True)
+
+
+# ---- how values are written, through the pipeline
+
+_WIDE = "FROM (SELECT event_id AS i, event_id < 500 AS copied, epoch_ms(date_trunc('second', ts)) AS ms, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, ((event_id % 800) * 3600 + event_id % 60)::BIGINT AS sec FROM events)"
+_WIDE_REST = "['x', 'y', 'z'][1 + i % 3] AS e, CASE WHEN i % 2 = 0 THEN 'a' ELSE 'a,c' END AS m, CASE WHEN copied THEN 0 ELSE i * 1000 END AS ts_ms, CASE WHEN copied THEN 'true' ELSE 'false' END AS snapshot"
+
+
+def _wide(spark: SparkSession, sf: str, **settings) -> DataFrame:
+    from . import pipeline
+
+    config = Config(server="srv", keyspace="ks", topic_prefix="pre", column_exclude="ks\\.w\\.hidden", **settings)
+    out = pipeline.build(cut(synth.wide_log(_t(spark, sf, "events"), 500), "log"), config)
+    d = pipeline.typed(out, config, "ks", "w")
+    return d.select(F.col("key.id").alias("i"), "record.after.*", "record.source.ts_ms", "record.source.snapshot").drop("id")
+
+
+@query(f"SELECT i, (18446744073709551615 - i)::VARCHAR AS u, hex(encode('b' || i)) AS b, sec * 1000000 AS t, ms AS d, CASE WHEN i % 2 = 0 THEN '1970-01-01' ELSE '2024-02-03' END AS z, {_WIDE_REST} {_WIDE}")
+def values_by_default(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed images with default settings; the first 500 rows are copied, with labels in their cells."""
+    d = _wide(spark, sf)
+    return d.withColumn("b", F.hex("b")).withColumn("z", F.col("z").cast("string"))
+
+
+@query(f"SELECT i, (18446744073709551615 - i)::VARCHAR AS u, base64(encode('b' || i)) AS b, sec * 1000 AS t, ms AS d, CASE WHEN i % 2 <> 0 THEN '2024-02-03' END AS z, {_WIDE_REST} {_WIDE}")
+def values_precise_base64_connect(spark: SparkSession, sf: str) -> DataFrame:
+    d = _wide(spark, sf, bigint_unsigned="precise", binary_handling="base64", time_precision="connect", override_datetime_to_nullable=True)
+    return d.withColumn("u", F.col("u").cast("string")).withColumn("z", F.col("z").cast("string"))
+
+
+@query(f"SELECT i, (-1 - i)::BIGINT AS u, lower(hex(encode('b' || i))) AS b, printf('%02d:00:%02d', i % 800, i % 60) AS t, stamp AS d, CASE WHEN i % 2 = 0 THEN '0000-00-00' ELSE '2024-02-03' END AS z, {_WIDE_REST} {_WIDE}")
+def values_long_hex_isostring(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(spark, sf, bigint_unsigned="long", binary_handling="hex", time_precision="isostring")
+
+
+@query("""WITH s AS (SELECT c_custkey AS k, 's' || c_custkey AS shard, ((row_number() OVER (ORDER BY 's' || c_custkey) - 1) % 8)::INTEGER AS task FROM customer)
+SELECT 'task' || task || '_8_1' AS task_key, shard, CASE WHEN task = 0 THEN 'c' || k WHEN k % 3 <> 0 THEN 'p' || k ELSE 'current' END AS gtid FROM s""")
+def plan_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as shards: this generation has task 0's offset alone, the one before has two thirds of the shards; all live ones are planned."""
+    live = {f"s{r.c_custkey}": r.c_custkey for r in _t(spark, sf, "customer").select("c_custkey").collect()}  # a list of shards
+    write = lambda names, of: {"vgtid": planner.GTID.write({s: f"{of}{live[s]}" for s in names}, "ks")}
+    store: planner.Store = {("server", planner.task_key(i, 4, 0)): write(mine, "p") for i, mine in planner.assign([s for s, k in live.items() if k % 3], 4).items()}
+    store["server", planner.task_key(0, 8, 1)] = write(planner.assign(live, 8)[0], "c")
+    config = Config(keyspace="ks", snapshot_mode="never", tasks=8, offset_storage_per_task=True, offset_storage_task_key_gen=1, prev_num_tasks=4).check()
+    rows = [(t.key, s, g) for t in planner.plan(config, list(live), store) for s, g in t.gtids.items()]
+    return spark.createDataFrame(rows, "task_key string, shard string, gtid string")
 
 
 def _drain(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -562,7 +687,7 @@ def stream_assemble(spark: SparkSession, sf: str) -> DataFrame:
     spark.conf.set(*STATE_STORE)
     n = _t(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("o_orderkey"), F.col("n_regionkey").cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"), F.lit("2024-01-01").cast("timestamp_ntz").alias("o_orderdate"))
     log = folder(spark, "log")
-    synth.order_log(n).coalesce(1).write.parquet(log)
+    synth.order_log(n).coalesce(1).write.mode("overwrite").parquet(log)
     done = _drain(spark, assemble_stream(stream_log(spark, log)), "assembled")
     return done.groupBy("txn_no").agg(F.count(F.lit(1)).cast("int").alias("n_events"))
 
@@ -580,5 +705,5 @@ def stream_epochs(spark: SparkSession, sf: str) -> DataFrame:
     v = position.vgtid_json(position.make_vgtid(F.lit("ks"), shards, F.transform(shards, lambda _: gtid)))
     log = folder(spark, "positions")
     t = _t(spark, sf, "nation").select(F.lit("s0").alias("stream"), (k + 1).cast("bigint").alias("txn_no"), v.alias("vgtid"))
-    t.coalesce(1).write.parquet(log)
+    t.coalesce(1).write.mode("overwrite").parquet(log)
     return _drain(spark, epoch_stream(spark.readStream.schema(t.schema).parquet(log), inherit=True), "epochs").select("txn_no", "shard", "epoch")

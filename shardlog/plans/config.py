@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from ..functions.decode import DecodeOptions
@@ -63,6 +64,11 @@ class Config:
     tombstones_on_delete: bool = True
     tasks: int = 1
     transforms: tuple[tuple[str, dict], ...] = field(default=())
+    #: Wire type -> function of (raw cell, column type) that gives the value, or None to leave it to the built-in decoding.
+    converters: dict = field(default_factory=dict)
+    #: Makes the source block from the server's name; the topic from (keyspace, table). None: the built-in ones.
+    source_maker: Callable | None = None
+    topic_naming: Callable | None = None
 
     def check(self) -> Config:
         one_of = {"tablet_type": ("MASTER", "REPLICA", "RDONLY"), "snapshot_mode": ("initial", "never"), "bigint_unsigned": ("string", "precise", "long"), "binary_handling": ("bytes", "base64", "hex"), "time_precision": ("adaptive_time_microseconds", "connect", "isostring")}
@@ -113,7 +119,7 @@ class Config:
         return "" if self.snapshot_mode == "initial" else CURRENT
 
     def decode_options(self) -> DecodeOptions:
-        return DecodeOptions(self.bigint_unsigned, self.binary_handling, self.time_precision, self.override_datetime_to_nullable, self.include_unknown_datatypes)
+        return DecodeOptions(self.bigint_unsigned, self.binary_handling, self.time_precision, self.override_datetime_to_nullable, self.include_unknown_datatypes, converters=dict(self.converters))
 
     def source_options(self) -> dict[str, str]:
         """Options of the change stream's reader."""

@@ -27,8 +27,7 @@ def task_key(index: int, tasks: int, generation: int) -> str:
 def assign(shards: Iterable[str], most_tasks: int) -> dict[int, list[str]]:
     """Round-robin over sorted shards; no more tasks than shards."""
     names = sorted(shards)
-    tasks = min(most_tasks, len(names))
-    return {i: names[i::tasks] for i in range(tasks)}
+    return {i: names[i::most_tasks] for i in range(min(most_tasks, len(names)))}
 
 
 def same_shards(a: list[str] | None, b: list[str] | None) -> bool:
@@ -103,17 +102,12 @@ class TaskPlan:
         return replace(base, shards=self.shards, vgtid=self.vgtid(base.keyspace), shard_epoch_map=EPOCH.write(self.epochs, ""))
 
 
-def choose_shards(live: list[str], current: list[str] | None, previous: list[str] | None) -> list[str]:
-    """The shards that tasks work on: what is stored for this generation, else for the one before, else what is live.
-
-    Stored shards are kept when the database's changed meanwhile (a reshard while offline is replayed), but shards that are live and
-    stored nowhere are added when none was replaced.
+def choose_shards(live: list[str], current: Iterable[str] | None, previous: Iterable[str] | None) -> list[str]:
+    """The shards that tasks work on: the live ones, if they include what is stored for this generation or, where nothing is, for the
+    one before; this generation may be stored in part only. Else the stored ones: a reshard while offline is replayed.
     """
-    if current:
-        return sorted(current)
-    if previous:
-        return sorted(live) if set(live) >= set(previous) else sorted(previous)
-    return sorted(live)
+    stored = set(current or previous or ())
+    return sorted(live) if set(live) >= stored else sorted(stored)
 
 
 def plan(config: Config, live_shards: list[str], store: Store | None = None) -> list[TaskPlan]:
@@ -127,27 +121,32 @@ def plan(config: Config, live_shards: list[str], store: Store | None = None) ->
     kinds = (GTID, EPOCH) if config.ordered_transactions else (GTID,)
     previous = {k.name: read_generation(store, config, k, config.prev_num_tasks, gen - 1, True) if gen > 0 else None for k in kinds}
     current = {k.name: read_generation(store, config, k, tasks, gen, False) for k in kinds}
-    old, now = (sorted(x["gtid"]) if x["gtid"] is not None else None for x in (previous, current))
-    if gen > 0 and config.prev_num_tasks == tasks and same_shards(old, sorted(live)):
+    if gen > 0 and config.prev_num_tasks == tasks and same_shards(_shards(previous["gtid"]), sorted(live)):
         raise PlanError("a new key generation needs another number of tasks or other shards")
-    for stored in (previous, current):
-        if "epoch" in stored and not same_shards(sorted(stored["gtid"] or ()), sorted(stored["epoch"] or ())):
-            raise PlanError("positions and epochs are stored for different shards")
-    if old is not None and now is None and not config.shards and set(old) > set(live):
-        raise PlanError(f"shards are gone: {sorted(set(old) - set(live))}")
-    if now is not None and not set(now) <= set(live) | set(old or ()):
-        now = sorted(read_generation(store, config, GTID, tasks, gen, True) or ())
-    shards = choose_shards(live, now if now and (old is None or set(now) >= set(old)) else None, old)
+    chosen = {}
+    for k in kinds:
+        had, have = previous[k.name], current[k.name]
+        if had is not None and not same_shards(_shards(had), sorted(live)) and set(had) >= set(live):
+            raise PlanError(f"shards are gone, and with them a {k.name}: {sorted(set(had) - set(live))}")
+        if have and not set(live) >= set(have):
+            have = current[k.name] = read_generation(store, config, k, tasks, gen, True)  # only stored shards can be gone on with, so all must be there
+        chosen[k.name] = choose_shards(live, have, had)
+    if len({tuple(x) for x in chosen.values()}) > 1:
+        raise PlanError("positions and epochs are stored for different shards")
     out = []
-    for i, mine in assign(shards, config.tasks).items():
+    for i, mine in assign(chosen["gtid"], tasks).items():
         value = {}
         for k in (GTID, EPOCH):
             have, had = current.get(k.name) or {}, previous.get(k.name) or {}
             value[k.name] = {s: have[s] if s in have else had[s] if s in had else k.fallback(config, s) for s in mine}
-        out.append(TaskPlan(i, task_key(i, len(assign(shards, config.tasks)), gen), tuple(mine), value["gtid"], value["epoch"]))
+        out.append(TaskPlan(i, task_key(i, tasks, gen), tuple(mine), value["gtid"], value["epoch"]))
     return out
 
 
+def _shards(stored: dict | None) -> list[str] | None:
+    return sorted(stored) if stored is not None else None
+
+
 # ---- the same rules on tables
 
 

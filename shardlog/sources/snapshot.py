@@ -10,7 +10,7 @@ from ..operators.filters import snapshot_included
 
 
 def copy_rows(table: DataFrame, keyspace: str, name: str, keys: list[str], cursor: list | None = None, patterns: str | None = ".*", shard: str = "0") -> DataFrame:
-    """Rows after the cursor as changes: op READ, in_copy, the row as ``after``. The key comparison reaches the scan as a filter."""
+    """Rows after the cursor as changes: op INSERT (a copied row is a row without an image before), in_copy, the row as ``after``. The key comparison reaches the scan as a filter."""
     d = table.where(snapshot_included(F.lit(keyspace), F.lit(name), patterns))
     if cursor is not None:
         d = d.where(cursor_after([F.col(k) for k in keys], cursor))

@@ -123,6 +123,80 @@ def test_batch_strict_and_stream_agree(spark, tmp_path):
         q.stop()
 
 
+def unsteady_stream(rng, stream):
+    """Responses with what the protocol tolerates, and now and then what it does not."""
+    responses, n = [], 0
+    for _ in range(rng.randrange(3, 25)):
+        n += 1
+        kind = rng.random()
+        if kind < 0.15:
+            responses += [[H]] * rng.randrange(1, 3)
+        elif kind < 0.25:
+            responses.append([("DDL", {"statement": "x"}), *([V(n)] if rng.random() < 0.8 else [])])
+        else:
+            start = [[("COPY_COMPLETED", {})], []][rng.random() < 0.9]
+            for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):  # tolerated restarts
+                start = [*start, B, FLD, *([V(n)] if rng.random() < 0.5 else [])]
+                if rng.random() < 0.7:
+                    responses.append(start)
+                    start = []
+            unit = [*start, B, *(ROW(None, pack(n, "x")) for _ in range(rng.randrange(3))), *([V(n)] if rng.random() < 0.9 else []), C]
+            if rng.random() < 0.03:
+                unit.insert(rng.randrange(len(unit) + 1), rng.choice([B, C, H, FLD]))
+            while unit:
+                k = rng.randrange(1, len(unit) + 1)
+                responses.append(unit[:k])
+                unit = unit[k:]
+    return events(*responses, stream=stream)
+
+
+def test_assembly_of_unsteady_logs(spark):
+    """assemble, assemble_strict and the plain state machine, stream by stream, on 200 random streams."""
+    rng, rows, expected, restarts, errors = random.Random(11), [], set(), 0, 0
+    for s in range(200):
+        mine = unsteady_stream(rng, f"s{s}")
+        rows += mine
+        for unit in Assembler().responses(iter([dict(e) for e in mine])):
+            expected |= {(e["stream"], e["response_no"], e["event_no"], e["type"], e["txn_no"], e["txn_vgtid"], e["commit_ts"]) for e in unit}
+            errors += bool(unit) and unit[0]["type"] == "ERROR"
+            restarts += bool(unit) and unit[-1]["type"] == "COMMIT" and unit[0]["type"] == "BEGIN"
+    assert errors > 20 and restarts > 100
+    log = spark.createDataFrame([tuple(r[f.name] for f in EVENTS.fields) for r in rows], EVENTS).repartition(5)
+    for made in (transactions.assemble(log), transactions.assemble_strict(log)):
+        got = [(r.stream, r.response_no, r.event_no, r.type, r.txn_no, r.txn_vgtid, r.commit_ts) for r in made.collect()]
+        assert len(got) == len(set(got)) and set(got) == expected
+    last, want = {}, []
+    for s, n, v in sorted({(e[0], e[4], e[5]) for e in expected if e[3] != "ERROR"}):
+        want.append((s, n, v or last.get(s), last.get(s)))
+        last[s] = v or last.get(s)
+    assert sorted(map(repr, map(tuple, transactions.offsets(transactions.assemble(log)).collect()))) == sorted(map(repr, want))
+
+
+def test_typed_records(spark):
+    wide = [*FIELDS, {"name": "e", "type": "ENUM", "column_type": "enum('x','y')", "flags": 0, "decimals": 0, "column_length": 0}, {"name": "o", "type": "POINT", "column_type": "point", "flags": 0, "decimals": 0, "column_length": 0}]
+    rows = events([B, FLD, ROW(None, pack(1, "a")), V(1), C], [B, ("FIELD", {"fields": wide}), ROW(pack(1, "a", "1", "p"), pack(2, None, "2", "q")), V(2), C], [B, ROW(pack(2, None, "2", "q"), None), V(3), C])
+    log = spark.createDataFrame([tuple(r[f.name] for f in EVENTS.fields) for r in rows], EVENTS)
+    base = {"server": "srv", "keyspace": "ks", "snapshot_mode": "never", "topic_prefix": "p"}
+    config = Config(**base)
+    got = pipeline.typed(pipeline.build(log, config), config, "ks", "t").orderBy("seq", "part").collect()
+    images = [(r.record.op, r.record.before and r.record.before.asDict(), r.record.after and r.record.after.asDict(), r.key.id) for r in got]
+    assert images == [("c", None, {"id": 1, "s": "a", "e": None}, 1), ("d", {"id": 1, "s": "a", "e": "x"}, None, 1), ("d", {"id": 1, "s": "a", "e": "x"}, None, 1), ("c", None, {"id": 2, "s": None, "e": "y"}, 2), ("d", {"id": 2, "s": None, "e": "y"}, None, 2), ("d", {"id": 2, "s": None, "e": "y"}, None, 2)]
+    config = Config(**base, include_unknown_datatypes=True, column_include="ks.t.(id|o|e)", tombstones_on_delete=False, converters={"ENUM": lambda cell, kind: F.lower(F.hex(cell))}, source_maker=lambda server: F.struct(F.lit(server).alias("who")), topic_naming=lambda keyspace, table: F.concat(F.lit("to-"), table))
+    out = pipeline.build(log, config)
+    got = pipeline.typed(out, config, "ks", "t").where("record.after is not null").orderBy("seq").collect()
+    assert [r.record.after.asDict() for r in got] == [{"id": 1, "e": None, "o": None}, {"id": 2, "e": "32", "o": bytearray(b"q")}] and got[0].record.source.who == "srv" and got[0].topic == "to-t"
+    assert {tuple(sorted(r.record.after)) for r in out.data.where("record.after is not null").collect()} == {("id",), ("e", "id", "o")}
+    assert pipeline.typed(out, config, "ks", "none").count() == 0
+    copied = events([B, ("FIELD", {"fields": wide[:3]}), ROW(None, pack(1, "a", "1")), V(1), C], [("COPY_COMPLETED", {}), B, ROW(None, pack(2, "a", "1")), V(2), C])
+    config = Config(**base | {"snapshot_mode": "initial"})
+    for strict in (False, True):
+        out = pipeline.build(spark.createDataFrame([tuple(r[f.name] for f in EVENTS.fields) for r in copied], EVENTS), config, strict)
+        got = [(r.record.after.e, r.record.source.snapshot, r.record.source.ts_ms) for r in pipeline.typed(out, config, "ks", "t").orderBy("seq").collect()]
+        assert got == [("1", "true", 0), ("x", "false", 1001000)]
+    none = Config(**base | {"snapshot_mode": "initial", "snapshot_tables": "ks.other"})
+    assert pipeline.build(spark.createDataFrame([tuple(r[f.name] for f in EVENTS.fields) for r in copied], EVENTS), none).data.count() == 1
+
+
 def test_changes_schemas_and_typing(spark):
     wide = [*FIELDS, {"name": "e", "type": "ENUM", "column_type": "enum('x','y')", "flags": 0, "decimals": 0, "column_length": 0}]
     rows = events([B, FLD, ROW(None, pack(1, "a")), V(1), C], [B, ("FIELD", {"fields": wide}), ROW(pack(1, "a", "1"), pack(2, None, "2")), V(2), C], [B, ROW(pack(2, None, "2"), None), V(3), C])
@@ -243,6 +317,13 @@ def test_plans():
     assert {g for t in p for g in t.gtids.values()} == {"x"}
     both = stored(2, 1, FOUR) | {k: {"vgtid": v["vgtid"].replace("g-", "old-")} for k, v in stored(4, 0, FOUR).items()}
     assert {g for t in planner.plan(config(2, 1, 4), FOUR, both) for g in t.gtids.values()} == {f"g-{s}" for s in FOUR}
+    part = {k: v for k, v in stored(2, 0, FOUR).items() if "task0" in k[1]}
+    p = planner.plan(config(2, 0, 0), FOUR, part)
+    assert [t.gtids for t in p] == [{"s0": "g-s0", "s2": "g-s2"}, {"s1": "current", "s3": "current"}]
+    p = planner.plan(config(2, 1, 1), FOUR, stored(1, 0, ["s0", "s1"]) | {k: v for k, v in stored(2, 1, FOUR).items() if "task1" in k[1]})
+    assert {s: g for t in p for s, g in t.gtids.items()} == {"s0": "g-s0", "s1": "g-s1", "s2": "current", "s3": "g-s3"}
+    p = planner.plan(config(2, 0, 0), ["s0", "s1", "s2", "s30", "s31"], stored(2, 0, FOUR))
+    assert sorted(s for t in p for s in t.shards) == FOUR
     p = planner.plan(config(4, 1, 2, ordered_transactions=True), FOUR, stored(2, 0, FOUR, True))
     assert all(set(t.epochs.values()) == {2} for t in p)
 
@@ -251,7 +332,11 @@ def test_plans():
     ("cfg", "live", "store"),
     [
         (config(2, 1, 4), ["s0", "s1"], stored(4, 0, FOUR)),  # shards are gone
+        (config(2, 1, 4), ["s0", "s1"], stored(4, 0, FOUR) | stored(2, 1, ["s0", "s1"])),  # gone, though this generation is stored
+        (config(2, 1, 4, shards=("s0", "s1")), FOUR, stored(4, 0, FOUR)),  # gone from the list
         (config(2, 1, 2), FOUR, stored(2, 0, FOUR)),  # nothing changed
+        (config(2, 0, 0), ["s0", "s2", "s1", "s30"], {k: v for k, v in stored(2, 0, FOUR).items() if "task1" in k[1]}),  # a stored shard was replaced, and a task's offset is missing
+        (config(2, 0, 0, ordered_transactions=True), ["s0", "s1", "s4"], {k: v if i else {**v, "transaction_epoch": '{"s0":1,"s9":1}'} for i, (k, v) in enumerate(stored(2, 0, ["s0", "s1"], True).items())}),  # epochs of other shards
         (config(4, 1, 2), FOUR, {k: v for k, v in stored(2, 0, FOUR).items() if "task0" in k[1]}),  # an offset is missing
         (config(4, 1, 2, ordered_transactions=True), FOUR, stored(2, 0, FOUR)),  # no epochs
     ],
