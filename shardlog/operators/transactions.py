@@ -291,7 +291,7 @@ def resume(units: DataFrame, positions: DataFrame) -> DataFrame:
 def counters(changes: DataFrame) -> DataFrame:
     """changes with total_order (in the transaction) and data_collection_order (in the transaction and table), from 1."""
     total = Window.partitionBy("stream", "txn_no").orderBy("seq", "change_no")
-    each = Window.partitionBy("stream", "txn_no", "keyspace", "table").orderBy("seq", "change_no")
+    each = Window.partitionBy("stream", "txn_no", "keyspace", "table").orderBy("total_order")
     return changes.withColumn("total_order", F.row_number().over(total).cast("bigint")).withColumn("data_collection_order", F.row_number().over(each).cast("bigint"))
 
 

@@ -95,8 +95,8 @@ def transaction_topic(spark: SparkSession, sf: str) -> DataFrame:
     return routing.transaction_records(transactions.messages(u), ends, routing.TopicNaming("pre")).select("status", "txn_no", "event_count", "topic")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS total_order,
-row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 2 ORDER BY l_linenumber, l_partkey, l_suppkey) AS data_collection_order FROM lineitem""")
+@query("""SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 2 ORDER BY total_order) AS data_collection_order
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS total_order FROM lineitem)""")
 def txn_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Each order's lines as one transaction over two tables."""
     l = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
