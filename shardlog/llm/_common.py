@@ -24,6 +24,9 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Bytes that an Arrow batch to a Python worker may take; rows alone are no bound where texts are long.
 BATCH_BYTES = 8 << 20
 
+#: Rows of a file of a scratch table, where their number is known; see Scratch.save.
+LEAST_ROWS = 2000
+
 
 def bound_batches(spark: SparkSession) -> None:
     """Lowers the session's bound on Arrow batches to BATCH_BYTES; a lower one stays."""
@@ -84,7 +87,11 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read again. rows: about how many it has; files then hold LEAST_ROWS or more, where that still gives
+        eight, so that small tables are not scattered over a cluster's many shuffle partitions."""
+        if rows is not None and (files := max(8, -(-rows // LEAST_ROWS))) < partitions(self.spark):
+            df = df.coalesce(files)
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 

@@ -251,30 +251,31 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 75, block: int =
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dedup")
     sig = scratch.save(signatures(docs, n), "signatures")
+    n_docs = sig.count()
     key = ["n_shingles", "f1", "f2"]
-    nodes = scratch.save(sig.where("doc_id is not null and n_shingles > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m")).select(*key, F.col("m.doc_id").alias("rep"), "m.bands", "m.sketch"), "nodes")
+    nodes = scratch.save(sig.where("doc_id is not null and n_shingles > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("m")).select(*key, F.col("m.doc_id").alias("rep"), "m.bands", "m.sketch"), "nodes", n_docs)
     # An id with several texts is one document: its sets' nodes are linked through it.
     same = sig.where("doc_id is not null and n_shingles > 0").select("doc_id", *key).groupBy("doc_id").agg(F.min(F.struct(*key)).alias("p"), F.max(F.struct(*key)).alias("q")).where("p <> q").select("doc_id").join(sig, "doc_id").where("n_shingles > 0").select("doc_id", *key).distinct().join(nodes.select("rep", *key), key).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
     bands = _band_rows(nodes)
     shared = bands.groupBy("bk").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    rows = scratch.save(bands.join(shared, "bk"), "buckets")
+    rows = scratch.save(bands.join(shared, "bk"), "buckets", n_docs)
     one = rows.groupBy("bk", "m").agg(F.bit_xor(F.xxhash64("rep")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("t"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).groupBy("m", "s", "t", "lo", "hi").agg(F.min("bk").alias("bk")).select("bk")
     parts = F.ceil(F.col("m") / block).cast("int")
     placed = rows.join(one, "bk").join(nodes.select("rep", "n_shingles", "sketch"), "rep").withColumn("block", F.when(F.col("m") > block, F.pmod(F.xxhash64("rep"), parts)).otherwise(0).cast("int"))
     others = F.when(F.col("m") > block, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
-    members = scratch.save(placed.select("bk", "rep", "n_shingles", "sketch", "block", F.explode(others).alias("o")).select("bk", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "rep", "n_shingles", "sketch"), "members")
-    first = scratch.save(_bucket_pairs(members.withColumn("label", F.col("rep")), percent, True), "pairs-1")
+    members = scratch.save(placed.select("bk", "rep", "n_shingles", "sketch", "block", F.explode(others).alias("o")).select("bk", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "rep", "n_shingles", "sketch"), "members", n_docs)
+    first = scratch.save(_bucket_pairs(members.withColumn("label", F.col("rep")), percent, True), "pairs-1", n_docs)
     sets = scratch.save(_sets(docs, first.select(F.explode(F.array("a", "b")).alias("id")).distinct(), n), "sets")
-    seen = scratch.save(_verify(first, sets, percent), "verified-1")
-    labels = components(seen.where("linked").select("a", "b").union(same), scratch, "cc1")
+    seen = scratch.save(_verify(first, sets, percent), "verified-1", n_docs)
+    labels = components(seen.where("linked").select("a", "b").union(same), scratch, "cc1", n_docs)
     named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     second = _bucket_pairs(named, percent, False).join(seen.select("a", "b"), ["a", "b"], "left_anti")
-    more = scratch.save(_verify(second, sets, percent).where("linked").select("a", "b"), "verified-2")
+    more = scratch.save(_verify(second, sets, percent).where("linked").select("a", "b"), "verified-2", n_docs)
     # The links between components, then each node's component's component.
     up = lambda c: F.coalesce(f"l{c}", c).alias(c)
     between = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left").select(up("a"), up("b"))
-    top = components(between, scratch, "cc2").select(F.col("node").alias("l1"), F.col("label").alias("l2"))
-    final = scratch.save(nodes.select(*key, "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("l1", F.coalesce("label", "rep")).join(top, "l1", "left").select(*key, F.coalesce("l2", "l1").alias("found")), "classes")
+    top = components(between, scratch, "cc2", n_docs).select(F.col("node").alias("l1"), F.col("label").alias("l2"))
+    final = scratch.save(nodes.select(*key, "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("l1", F.coalesce("label", "rep")).join(top, "l1", "left").select(*key, F.coalesce("l2", "l1").alias("found")), "classes", n_docs)
     scratch.drop("nodes", "buckets", "members", "pairs-1", "sets", "verified-1", "verified-2")
     got = sig.select("doc_id", *key).join(final, key, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
     return got.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -286,7 +287,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 75, most: int = 1_000_0
     The ids that go are written first; up to ``most`` of them are broadcast, more are joined by shuffle.
     """
     scratch = Scratch(docs.sparkSession, "keep-one")
-    found = scratch.save(near_duplicates(docs, n, percent).select("doc_id", "kept"), "found")
+    found = scratch.save(near_duplicates(docs, n, percent).select("doc_id", "kept"), "found", docs.count())
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     if gone.count() <= most:
         gone = F.broadcast(gone)

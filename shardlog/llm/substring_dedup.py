@@ -247,7 +247,7 @@ def _remove(docs: DataFrame, n: int, strip: bool) -> DataFrame:
         yield from _deal(entries(), buckets, True)
 
     found = keyed.select("text", "_k", "_f").mapInArrow(seeds, _DEALT)
-    marks = scratch.save(_verdicts(found, buckets, True), "marks")
+    marks = scratch.save(_verdicts(found, buckets, True), "marks", docs.count())
     # The texts meet the verdicts twice, by the same exchange: Spark writes it once and reads it again for the second pass's verdicts.
     met = keyed.join(marks, ["_k", "_f"], "left").select(*docs.columns, "_k", "_f", "_marks")
     width = len(docs.columns)

@@ -576,3 +576,17 @@ def test_tokenizer_pieces():
     tok, enc = Tokenizer.from_file(tokenizer_path()), packing.Encoder(tokenizer_path(), most=50)
     for t in ["It's a'll WE'VE Élan ß ŠTRASSE 12½³ a\x1cb a\xa0b\x85c", "İstanbul <|endoftext|> x <|startoftext|>y", "’ “q” —x µ ª º ¼ é", "\x7f\x80\xad­x 中文 😀", " ".join(f"w{i}ab" for i in range(200))]:
         assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
+def test_small_scratch_tables_have_few_files(spark):
+    from shardlog.llm._common import Scratch
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        scratch, df = Scratch(spark, "files"), spark.range(0, 90_000, 1, 40)
+        for rows, most in ((0, 8), (15_000, 8), (24_000, 12), (90_000, 40), (None, 40)):
+            kept = scratch.save(df, f"t{rows}", rows)
+            assert len(kept.inputFiles()) == most and kept.count() == 90_000 and kept.distinct().count() == 90_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
