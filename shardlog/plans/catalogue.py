@@ -429,6 +429,31 @@ def dedupe_shards(spark: SparkSession, sf: str) -> DataFrame:
     return metadata.serving_shards(rows, "ks")
 
 
+@query("SELECT c_name AS shard FROM customer WHERE c_custkey % 3 = 0")
+def shard_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards of one keyspace among the names of several, one of which begins alike."""
+    k = F.col("c_custkey") % 3
+    names = _t(spark, sf, "customer").select(F.concat(F.when(k == 0, "ks").when(k == 1, "ks2").otherwise("other"), F.lit("/"), "c_name").alias("name"))
+    return metadata.shards(names, "ks")
+
+
+@query("""SELECT DISTINCT p_brand AS "table" FROM part WHERE p_partkey % 4 = 1 AND p_partkey % 3 = 0""")
+def table_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables of a keyspace as one shard has them."""
+    k = F.col("p_partkey")
+    listing = _t(spark, sf, "part").select(F.when(k % 3 == 0, "ks").otherwise("other").alias("keyspace"), (k % 4).cast("string").alias("shard"), F.col("p_brand").alias("table"))
+    return metadata.tables(listing, "ks", "1")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 6 IN (4, 5)")
+def system_keyspaces(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables of the system's own keyspaces never pass, in whatever case."""
+    k = F.col("c_custkey") % 6
+    keyspace = F.when(k == 0, "mysql").when(k == 1, "PERFORMANCE_SCHEMA").when(k == 2, "sys").when(k == 3, "information_schema").when(k == 4, "sys2").otherwise("ks")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", keyspace.alias("keyspace"), F.col("c_name").alias("table"))
+    return filters.filter_tables(c).select("c_custkey", "c_name")
+
+
 @query("SELECT p_partkey FROM part WHERE regexp_full_match('ks.' || p_brand, 'ks\\.Brand#1.*')")
 def snapshot_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Tables to copy; an empty list adds none."""
@@ -600,6 +625,16 @@ def unsteady_heartbeats(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.build(_unsteady(spark, sf), config).heartbeats.select("stream", "txn_no", "server", "vgtid", "ts_ms")
 
 
+@query(_UNSTEADY + """SELECT '0.1.0' AS version, 'shardlog' AS connector, 'srv' AS name, i * 1000 AS ts_ms, 'false' AS snapshot, '' AS db, NULL AS sequence, i * 1000000 AS ts_us, i * 1000000000 AS ts_ns,
+'ks' AS keyspace, 't' AS "table", '0' AS shard, v AS vgtid FROM p WHERE i % 5 IN (0, 2)""")
+def source_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every field of the source block of each record."""
+    from . import pipeline
+
+    config = Config(server="srv", keyspace="ks", topic_prefix="pre", snapshot_mode="never")
+    return pipeline.build(_unsteady(spark, sf), config).data.select("record.source.*")
+
+
 _ORDERED_SQL = _UNSTEADY + """, o AS (SELECT *, sum(moved) OVER (PARTITION BY stream ORDER BY i) AS epoch FROM (SELECT *, CASE WHEN host <> lag(host) OVER (PARTITION BY stream ORDER BY i) THEN 1 ELSE 0 END AS moved FROM p WHERE v IS NOT NULL))
 SELECT stream, txn_no, 'c' AS op, i::BIGINT AS id, 's' || (i % 7) AS s, 1::BIGINT AS total_order, epoch::BIGINT AS epoch, i::BIGINT AS rank, i * 1000 AS ts_ms, v AS id_of_txn FROM o WHERE i % 5 IN (0, 2)"""
 
