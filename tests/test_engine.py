@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -215,6 +216,34 @@ def test_changes_schemas_and_typing(spark):
         envelope.raw_images(schema_history.with_schema(transactions.row_changes(transactions.assemble(bad)), schema_history.versions(bad))).collect()
 
 
+def test_long_schema_histories_are_searched(spark):
+    """Rows meet a bounded number of versions, and the right one, however many their table has."""
+    rng = random.Random(4)
+    tables = {("s", "0", "k", "a"): 1, ("s", "0", "k", "b"): 16, ("s", None, "k", "b"): 17, (None, "1", "k", "b"): 257, ("s", "1", "k", "b"): 5000}
+    history, changes, expected = [], [], []
+    for key, n in tables.items():
+        at = sorted(rng.sample(range(10, 20 * n + 10), n))
+        history += [(*key, f, t, [{"name": f"v{f}"}], f % 2 == 0) for f, t in zip(at, [*at[1:], None], strict=True)]
+        for seq in [0, at[0], at[-1], 10**12, *(rng.randrange(20 * n + 30) for _ in range(500))]:
+            changes.append((*key, seq, len(changes)))
+            if before := [f for f in at if f <= seq]:
+                expected.append((changes[-1][-1], f"v{before[-1]}", before[-1] % 2 == 0))
+    changes.append(("s", "2", "k", "b", 50, len(changes)))
+    keys = "stream string, shard string, keyspace string, table string"
+    h = spark.createDataFrame(history, f"{keys}, from_seq long, to_seq long, fields array<struct<name:string>>, labels_as_text boolean").repartition(5)
+    c = spark.createDataFrame(changes, f"{keys}, seq long, id int")
+    for most, kind in ((200_000, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        if not most:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        met = schema_history.with_schema(c, h, most)
+        assert met.columns == [*c.columns, "fields", "labels_as_text"]
+        assert len(re.findall(rf"\b{kind}\b", met._jdf.queryExecution().executedPlan().toString())) == 4  # of 16 entries each
+        assert sorted((r.id, r.fields[0].name, r.labels_as_text) for r in met.collect()) == sorted(expected)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    short = schema_history.with_schema(c, h.where("table = 'a'"))
+    assert short.count() == sum(1 for r in expected if r[0] < 504) and schema_history.with_schema(c, h.limit(0)).count() == 0
+
+
 def test_pipeline(spark):
     rows = events([B, FLD, ROW(None, pack(1, "a")), V(1), C], [B, ROW(pack(1, "a"), pack(2, "a")), V(2), C], [B, ROW(pack(2, "a"), None), V(3), C], [("DDL", {"statement": "alter table t add x int"}), V(4)], [H])
     log = spark.createDataFrame([tuple(r[f.name] for f in EVENTS.fields) for r in rows], EVENTS)
