@@ -61,7 +61,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages"))
+    return html_extract.extract(table(spark, sf_dir, "pages"), counts=True)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -465,6 +465,42 @@ def test_html_suffix_array_is_brute_force(spark, monkeypatch, segment):
     same(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)), expected)
 
 
+def test_html_array_covers_every_page(spark, monkeypatch):
+    """Streams of pages whose markup names the main element go through the array with all their text; the check follows."""
+    monkeypatch.setattr(html_extract, "PART", 2000)
+    rng = random.Random(8)
+    menus = [" ".join(words(rng, n, 10**6)) for n in (6, 12, 20)]
+    said = [" ".join(words(rng, n, 10**6)) for n in (3, 15, 40, 40)]
+    rows = []
+    for i in range(80):
+        body = rng.choice(said) if rng.random() < 0.3 else " ".join(words(rng, rng.randrange(1, 40), 10**6))
+        body = f"<article><p>{body}</p></article>" if i % 4 else f"<div>{body}</div>"
+        rows.append((i, f"http://{'abc'[i % 3]}.org/{i}", f"<nav>{rng.choice(menus)}</nav>{body}<div class=ad>{rng.choice(menus)}</div><footer>{rng.choice(said)}</footer>"))
+    rows += [(200 + i, rows[1][1], rows[1][2]) for i in range(30)] + [(300, None, None), (301, "http://a.org/", rows[1][2])]
+    host = lambda u: u.split("/")[2] if u else ""
+    on = {}
+    streams = [(i, u, html_extract.judged(h)) for i, u, h in rows]
+    for _, u, found in streams:
+        t = " ".join(x for _, x in found).split()
+        for k in range(len(t) - 9):
+            on.setdefault((host(u), *t[k : k + 10]), set()).add(tuple(found))
+    expected = []
+    for i, u, found in streams:
+        t = [(w, v, n) for n, (v, x) in enumerate(found) for w in x.split()]
+        gone = [False] * len(t)
+        for k in range(len(t) - 9):
+            if len(on[(host(u), *(w for w, _, _ in t[k : k + 10]))]) > 1:
+                gone[k : k + 10] = [True] * 10
+        kept = [(n, w) for (w, v, n), g in zip(t, gone, strict=True) if v == html_extract.KEPT or v == html_extract.OPEN and not g]
+        text = "\n".join(" ".join(w for m, w in kept if m == n) for n in sorted({n for n, _ in kept}))
+        expected.append((i, u, text, len(text), len(t), sum(gone), sum(g for (_, v, _), g in zip(t, gone, strict=True) if v == html_extract.KEPT)))
+    assert any(e[6] for e in expected) and any(e[5] > e[6] for e in expected) and any(e[4] and not e[5] for e in expected)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    same(html_extract.extract(df, counts=True), expected)
+    same(html_extract.extract(df), [e[:4] for e in expected])
+    assert html_extract.blocks("<article>a <button><p>b</p></button>c</article>")[0] == ["a", "c"]
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
