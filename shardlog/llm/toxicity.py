@@ -14,7 +14,10 @@ gets the share of toxic labels (0 when there are none). Repeated rows are scored
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from hashlib import sha256
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +53,25 @@ def _slots(text: str | None, seen: np.ndarray) -> np.ndarray:
     return h[seen[h] == at]
 
 
+def _pack(slots: np.ndarray) -> bytes:
+    """Distinct slots, sorted, as a byte or so each: the gap to the one before as bytes of 255 and a last one below that."""
+    gap = np.diff(np.sort(slots), prepend=np.int32(0))
+    out = np.full(len(gap) + int((gap // 255).sum()), 255, np.uint8)
+    out[np.cumsum(gap // 255 + 1) - 1] = gap % 255
+    return out.tobytes()
+
+
+class _Packed:
+    """Texts' slots that are unpacked when their turn comes."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        self.texts = texts
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        for x in self.texts:
+            yield np.cumsum(x, dtype=np.int32)[x != 255]
+
+
 @dataclass
 class ToxicityModel:
     weights: np.ndarray
@@ -61,8 +83,9 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def fit_arrays(docs: list[np.ndarray], y: np.ndarray, prior: float, least_docs: int = 3, least_ratio: float = 0.4, rounds: int = 120, l2: float = 2.0) -> ToxicityModel:
-    """docs: distinct slots of each sampled text; y: its label; prior: share of toxic labels among all training labels."""
+def fit_arrays(docs: Iterable[np.ndarray], y: np.ndarray, prior: float, least_docs: int = 3, least_ratio: float = 0.4, rounds: int = 120, l2: float = 2.0, block: int = 1 << 17) -> ToxicityModel:
+    """docs: distinct slots of each sampled text, gone through more than once; y: its label; prior: share of toxic labels among all training labels.
+    block: slots of texts that a round works on at once, one text at least, so that its arrays don't grow with the sample."""
     w_out = np.zeros(1 << BITS, np.float32)
     if len(y) == 0 or y.min() == y.max():
         p = min(max(prior, 1e-9), 1 - 1e-9)
@@ -74,24 +97,41 @@ def fit_arrays(docs: list[np.ndarray], y: np.ndarray, prior: float, least_docs:
         (df1 if label else df0)[d] += 1
     r = np.log((df1 + 1) / (n1 + 2)) - np.log((df0 + 1) / (n0 + 2))
     use = (df1 + df0 >= least_docs) & (np.abs(r) >= least_ratio)
-    new = np.cumsum(use) - 1
-    cols = [new[d[use[d]]].astype(np.int32) for d in docs]
-    lens = np.array([len(x) for x in cols])
-    idx, ends, row = np.concatenate(cols), np.concatenate([[0], np.cumsum(lens)]), np.repeat(np.arange(len(y)), lens)
+    new = (np.cumsum(use) - 1).astype(np.int32)
+    lens = np.array([np.count_nonzero(use[d]) for d in docs])
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    idx = np.empty(ends[-1], np.int32)
+    for k, d in enumerate(docs):
+        idx[ends[k] : ends[k + 1]] = new[d[use[d]]]
+    blocks, at = [], 0  # of whole texts
+    while at < len(y):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + block, "right")) - 1)
+        blocks.append((slice(at, to), slice(int(ends[at]), int(ends[to]))))
+        at = to
     rr, m = r[use], int(use.sum())
     cost = np.where(y == 1, prior / n1, (1 - prior) / n0) * len(y)
     scale = 1 / np.sqrt(max(1.0, lens.mean()))
     val = rr * scale
 
     def margins(v: np.ndarray, b: float) -> np.ndarray:
-        s = np.concatenate([[0.0], np.cumsum((val * v)[idx])])
-        return s[ends[1:]] - s[ends[:-1]] + b
+        out, w = np.empty(len(y)), val * v
+        for texts, slots in blocks:
+            s = np.concatenate([[0.0], np.cumsum(w[idx[slots]])])
+            at = ends[texts.start : texts.stop + 1] - slots.start
+            out[texts] = s[at[1:]] - s[at[:-1]]
+        return out + b
+
+    def slot_sums(g: np.ndarray) -> np.ndarray:
+        out = np.zeros(m)
+        for texts, slots in blocks:
+            out += np.bincount(idx[slots], weights=np.repeat(g[texts], lens[texts]), minlength=m)
+        return out
 
     v, b = np.zeros(m), float(np.log(prior / (1 - prior)))
     m1, m2, mb1, mb2 = np.zeros(m), np.zeros(m), 0.0, 0.0
     for t in range(1, rounds + 1):  # Adam on the whole sample
         g = cost * (1 / (1 + np.exp(-np.clip(margins(v, b), -50, 50))) - y) / len(y)
-        gv, gb = np.bincount(idx, weights=g[row], minlength=m) * val + l2 * v / len(y) / 10, g.sum()
+        gv, gb = slot_sums(g) * val + l2 * v / len(y) / 10, g.sum()
         m1, m2, mb1, mb2 = 0.9 * m1 + 0.1 * gv, 0.99 * m2 + 0.01 * gv * gv, 0.9 * mb1 + 0.1 * gb, 0.99 * mb2 + 0.01 * gb * gb
         a, c = 1 - 0.9**t, 1 - 0.99**t
         v -= 0.05 * (m1 / a) / (np.sqrt(m2 / c) + 1e-8)
@@ -119,11 +159,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, held_out_mod:
     def slots(batches):
         seen = np.zeros(1 << BITS, np.int32)
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_slots(t, seen).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "slots"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_pack(_slots(t, seen)) for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "slots"])
 
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text").mapInArrow(slots, "doc_id long, y int, slots binary")
-    got = sorted({(r["doc_id"], bytes(r["slots"])): r["y"] for r in sample.toLocalIterator()}.items())
-    return fit_arrays([np.frombuffer(k[1], np.int32) for k, _ in got], np.array([y for _, y in got], np.int64), prior)
+    got = sample.toArrow()  # one job, whatever the number of partitions
+    packed = []
+    for c in got.column("slots").cast(pa.binary()).chunks:
+        if len(c):
+            ends, data = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1], np.frombuffer(c.buffers()[2] or b"", np.uint8)
+            packed += [data[a:b] for a, b in pairwise(ends.tolist())]
+    rows = {(doc, sha256(x).digest()): k for k, (doc, x) in enumerate(zip(got.column("doc_id").to_pylist(), packed, strict=True))}
+    order = [rows[k] for k in sorted(rows)]
+    return fit_arrays(_Packed([packed[k] for k in order]), got.column("y").to_numpy()[order].astype(np.int64), prior)
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
