@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -162,15 +161,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, held_out_mod:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_pack(_slots(t, seen)) for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "slots"])
 
     sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text").mapInArrow(slots, "doc_id long, y int, slots binary")
-    got = sample.toArrow()  # one job, whatever the number of partitions
-    packed = []
-    for c in got.column("slots").cast(pa.binary()).chunks:
-        if len(c):
-            ends, data = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1], np.frombuffer(c.buffers()[2] or b"", np.uint8)
-            packed += [data[a:b] for a, b in pairwise(ends.tolist())]
-    rows = {(doc, sha256(x).digest()): k for k, (doc, x) in enumerate(zip(got.column("doc_id").to_pylist(), packed, strict=True))}
-    order = [rows[k] for k in sorted(rows)]
-    return fit_arrays(_Packed([packed[k] for k in order]), got.column("y").to_numpy()[order].astype(np.int64), prior)
+    got = {}
+    for r in sample.repartition(8).toLocalIterator():  # eight jobs, whatever the number of partitions; an eighth of the sample at once
+        x = bytes(r["slots"])
+        got[r["doc_id"], sha256(x).digest()] = x, r["y"]
+    rows = [got[k] for k in sorted(got)]
+    return fit_arrays(_Packed([np.frombuffer(x, np.uint8) for x, _ in rows]), np.array([y for _, y in rows], np.int64), prior)
 
 
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:

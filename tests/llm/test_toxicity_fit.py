@@ -46,7 +46,7 @@ def test_packed_slots():
     assert len(packed[-1]) < 1.1 * 4000
 
 
-def test_sample_comes_in_one_job_whatever_the_partitions(spark):
+def test_as_many_jobs_whatever_the_partitions(spark):
     rows = [(i, f"text number {i} {'filth' if i % 5 == 0 else 'calm'} " * 3) for i in range(200)] + [(0, "the same id again"), (1, None), (2, "")]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
     made, jobs = [], []
