@@ -501,6 +501,63 @@ def test_html_array_covers_every_page(spark, monkeypatch):
     assert html_extract.blocks("<article>a <button><p>b</p></button>c</article>")[0] == ["a", "c"]
 
 
+def test_html_word_hashes():
+    """Words of any length hash by their bytes alone, whatever stands beside them."""
+    rng = random.Random(3)
+    odd = ["\0", "\0\0", "a", "a\0", "\0a", "é", "\ud800", *("x" * k for k in range(2, 70)), *("x" * k + "y" for k in range(70)), *("x" * k + "\0" for k in range(70))]
+    odd = list(dict.fromkeys(w.encode("utf-8", "surrogatepass") for w in odd + words(rng, 3000, 10**6)))
+    found = {}
+    for _ in range(3):
+        rng.shuffle(odd)
+        for w, h in zip(odd, html_extract._word_hashes(b" ".join(odd)).tolist(), strict=True):
+            found.setdefault(w, set()).add(h)
+    assert all(len(h) == 1 for h in found.values()) and len(set.union(*found.values())) == len(odd)
+    assert len(html_extract._word_hashes(b"")) == 0 and html_extract._word_hashes(b"one").tolist() == html_extract._word_hashes(b"one one").tolist()[1:]
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_html_order_of_keys(n):
+    keys = np.random.default_rng(2).integers(0, 2**40, max(n // 3, 1)).astype(np.uint64)[np.random.default_rng(3).integers(0, max(n // 3, 1), n)]
+    o = np.argsort(keys, kind="stable")
+    u, heads, count = np.unique(keys[o], return_index=True, return_counts=True)
+    for got in (html_extract._ordered([keys]), html_extract._ordered([keys, np.zeros(n, np.uint32)])):
+        assert [got[0][0].tolist(), *(x.tolist() for x in got[1:])] == [u.tolist(), o.tolist(), heads.tolist(), count.tolist()]
+
+
+def test_html_array_costs_less_than_parsing():
+    """Three steps hash a part's streams and order their keys; each takes less CPU than parsing the pages does once."""
+    import marshal
+    import time
+
+    rng = random.Random(5)
+    pages = ["<html><body>" + "".join(f"<div class=c{k}><p>{' '.join(words(rng, 40, 10**6))} <b>x</b></p></div>" for k in range(15)) + "</body></html>" for _ in range(400)]
+    streams = []
+    for i, page in enumerate(pages):
+        texts = tuple(t for _, t in html_extract.judged(page))
+        streams.append((html_extract._stream_key("h", texts), "h", texts, bytes(len(texts)), [(i, "u")]))
+    raw = marshal.dumps(streams)
+    blob = len(raw).to_bytes(4, "little") + html_extract._squeezed(raw)
+
+    def cpu(f):
+        times = []
+        for _ in range(5):
+            began = time.process_time()
+            f()
+            times.append(time.process_time() - began)
+        return min(times)
+
+    assert cpu(lambda: html_extract._Part([blob], 10).first()) < cpu(lambda: [html_extract.judged(p) for p in pages])
+
+
+def test_html_extraction_of_odd_words(spark):
+    """Words that differ late, or by a NUL, are not the same; long equal ones are."""
+    base = [f"w{k}" for k in range(9)]
+    last = ["x" * 40, "x" * 40 + "y", "x" * 40 + "z", "n", "n\0", "x" * 40]
+    rows = [(i, "http://a.org/", f"<div>{' '.join([*base, w])}</div><div>only{i}</div>") for i, w in enumerate(last)]
+    expected = [(i, u, t, len(t)) for (i, u, _), w in zip(rows, last, strict=True) for t in ["\n".join(([] if w == last[0] else [" ".join([*base, w])]) + [f"only{i}"])]]
+    same(html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)), expected)
+
+
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
